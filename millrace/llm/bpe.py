@@ -9,9 +9,10 @@ vocabulary's byte strings.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
+from array import array
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.text import as_bytes
 
-#: Pieces remembered by a worker; beyond that the table starts anew.
-MEMO = 200_000
+#: Pieces in a worker's table; when it is full, it becomes the older table and a new one begins.
+MEMO = 300_000
 #: Longer pieces aren't remembered.
 MEMO_PIECE = 64
 
@@ -33,6 +34,24 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class _Memo(dict):
+    """Encoded pieces, as native 32-bit integers; two generations of MEMO pieces at most."""
+
+    def __init__(self, merge) -> None:
+        super().__init__()
+        self.merge = merge
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece) or array("i", self.merge(piece.encode())).tobytes()
+        if len(piece) <= MEMO_PIECE:
+            if len(self) >= MEMO:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Tokenizer:
     """Encodes and decodes with a vocabulary file of the tokenizers library's JSON form."""
 
@@ -45,60 +64,58 @@ class Tokenizer:
         raw = lambda token: bytes(alphabet[c] for c in token)
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.ids = {raw(t): i for t, i in model["vocab"].items() if t not in added}
-        self.pieces: dict[int, bytes] = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in added.items()}
-        self.names = [str(i) for i in range(max(self.pieces) + 1)]
+        pieces = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in added.items()}
+        self.pieces = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
+        self.names = [str(i) for i in range(len(self.pieces))]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.merges = {(self.ids[raw(a)], self.ids[raw(b)]): (rank, self.ids[raw(a) + raw(b)]) for rank, (a, b) in enumerate(pairs)}
+        #: rank of a pair of ids (in one integer), and the id that each rank's merge makes
+        self.merges = {self.ids[raw(a)] << 32 | self.ids[raw(b)]: rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [self.ids[raw(a) + raw(b)] for a, b in pairs]
         self.bytes = [self.ids[bytes([b])] for b in range(256)]
         self.added = added
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         # fixed value: the published splitting pattern of byte-level BPE
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-        self.memo: dict[str, list[int]] = {}
+        self.memo = _Memo(self.merge)
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one piece, by ascending merge rank and, at equal rank, from the left."""
-        symbols = [self.bytes[b] for b in piece]
+        """Ids of one piece, by ascending merge rank and, at equal rank, from the left.
+
+        A queue entry is rank << 32 | position, so entries order by rank, then position.
+        """
+        alphabet, rank_of, made = self.bytes, self.merges.get, self.made
+        symbols = [alphabet[b] for b in piece]
         n = len(symbols)
+        queue = [rank << 32 | i for i in range(n - 1) if (rank := rank_of(symbols[i] << 32 | symbols[i + 1])) is not None]
+        if not queue:
+            return symbols
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        merges = self.merges
-        queue = [(found[0], i, found[1]) for i in range(n - 1) if (found := merges.get((symbols[i], symbols[i + 1])))]
-        heapq.heapify(queue)
+        heapify(queue)
         while queue:
-            _, i, whole = heapq.heappop(queue)
+            entry = heappop(queue)
+            i = entry & 0xFFFFFFFF
+            whole = made[entry >> 32]
             j = right[i]
-            if symbols[i] < 0 or j >= n or (found := merges.get((symbols[i], symbols[j]))) is None or found[1] != whole:
+            if symbols[i] < 0 or j >= n or (rank := rank_of(symbols[i] << 32 | symbols[j])) is None or made[rank] != whole:
                 continue  # stale: one of the two symbols has changed since
             symbols[i], symbols[j] = whole, -1
             right[i] = after = right[j]
             if after < n:
                 left[after] = i
-                if found := merges.get((whole, symbols[after])):
-                    heapq.heappush(queue, (found[0], i, found[1]))
+                if (rank := rank_of(whole << 32 | symbols[after])) is not None:
+                    heappush(queue, rank << 32 | i)
             before = left[i]
-            if before >= 0 and (found := merges.get((symbols[before], whole))):
-                heapq.heappush(queue, (found[0], before, found[1]))
+            if before >= 0 and (rank := rank_of(symbols[before] << 32 | whole)) is not None:
+                heappush(queue, rank << 32 | before)
         return [s for s in symbols if s >= 0]
 
-    def _piece(self, piece: str) -> list[int]:
-        if (known := self.memo.get(piece)) is not None:
-            return known
-        ids = self.merge(piece.encode())
-        if len(piece) <= MEMO_PIECE:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[piece] = ids
-        return ids
-
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        known, add, make = self.memo.get, out.extend, self._piece
         for part in self.cut.split(text) if self.cut else (text,):
             if part in self.added:
                 out.append(self.added[part])
-                continue
-            for piece in self.split(part):
-                add(known(piece) or make(piece))
+            elif part:
+                out += memoryview(b"".join(map(self.memo.__getitem__, self.split(part)))).cast("i")
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -163,7 +180,7 @@ def round_trip(docs: DataFrame, vocabulary: str, *, doc_id: str = "doc_id", text
             for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 ids = tokenizer.encode(raw[lo:hi].decode("utf-8", "replace"))
                 counts.append(len(ids))
-                coded.append(hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest())
+                coded.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(tokenizer.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=[doc_id, "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, sharding, urlrules
+from millrace.llm import bpe, decontaminate, pii, sharding, toxicity, urlrules, warc
+from millrace.llm.shared import new_folder
 
 #: The rules that op2 judges by: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -31,10 +33,34 @@ def op4_sharding(spark, sf_dir):
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op6_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op7_warc(spark, sf_dir):
+    """Writes the archives to the shared folder, then reads their records back."""
+    pages = _table(spark, sf_dir, "pages")
+    folder = new_folder(spark, "warc")
+    warc.write_archives(pages, folder)
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archives(spark, folder).select(
+        F.col("id").cast(kind).alias("page_id"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        F.col("refers").cast(kind).alias("refers_to"),
+    )
+
+
 def op8_bpe(spark, sf_dir):
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_pii(spark, sf_dir):
+    return pii.find_spans(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -42,7 +68,10 @@ def op10_decontamination(spark, sf_dir):
 QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op4_sharding": op4_sharding,
+    "op6_toxicity": op6_toxicity,
+    "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
+    "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -74,6 +103,16 @@ ORACLES = {
                 row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) AS k
             FROM u LEFT JOIN rules ON (u.host = h OR ends_with(u.host, '.' || h)) AND starts_with(u.path, p))
         SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM hits WHERE k = 1""",
+    "op7_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        h AS (SELECT *, upper(sha1(body)) AS s, min(page_id) OVER (PARTITION BY body) AS first FROM p),
+        g AS (SELECT *, [CAST('0x' || substr(s, 1 + 5 * i, 5) AS INT) FOR i IN range(8)] AS n FROM h)
+        SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
+            array_to_string(list_transform(range(32), lambda k:
+                substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (n[1 + k // 4] >> (15 - 5 * (k % 4))::INT) % 32, 1)), '') AS payload_digest,
+            CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM g""",
     "op10_decontamination": f"""
         WITH {shingle_ctes("d", "documents", "doc_id")}, {shingle_ctes("b", "benchmark", "item_id")},
         sizes AS (SELECT id, count(*) AS n FROM b_sets GROUP BY id),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, pii, sharding, toxicity, urlrules, warc
+from millrace.llm import bpe, decontaminate, media, pii, sharding, toxicity, urlrules, warc
 from millrace.llm.shared import new_folder
 
 #: The rules that op2 judges by: host, path, verdict.
@@ -33,6 +33,10 @@ def op4_sharding(spark, sf_dir):
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op5_media_columns(spark, sf_dir):
+    return media.describe(media.store(_table(spark, sf_dir, "documents")))
+
+
 def op6_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return toxicity.scores(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -68,6 +72,7 @@ def op10_decontamination(spark, sf_dir):
 QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op4_sharding": op4_sharding,
+    "op5_media_columns": op5_media_columns,
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, media, pii, sharding, toxicity, urlrules, warc
+from millrace.llm import bpe, decontaminate, media, pii, sharding, suffixes, toxicity, urlrules, warc
 from millrace.llm.shared import new_folder
 
 #: The rules that op2 judges by: host, path, verdict.
@@ -24,6 +24,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op2_url_filters(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urlrules.judge_urls(_table(spark, sf_dir, "pages"), rules)
@@ -70,6 +74,7 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_url_filters": op2_url_filters,
     "op4_sharding": op4_sharding,
     "op5_media_columns": op5_media_columns,

@@ -1,40 +1,63 @@
 """A training-data pipeline over ``documents``; its stages follow in order.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run``
-writes as Parquet and reads again as the next stage's ``docs``.
+writes as Parquet and reads again as the next stage's ``docs``. Stages work on
+all that their predecessor kept; all but the last return the columns of their docs.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate
+from millrace.llm import bpe, decontaminate, jaccard, pii, toxicity
 from millrace.llm.registry import vocabulary
+from millrace.llm.shared import new_folder
+
+
+def without_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below 0.5 by compression distance, learnt from the labels of these documents."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.train(docs, labels))
+
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest document of each group that the shingle similarity join links."""
+    return jaccard.one_of_each(docs)
 
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return decontaminate.decontaminated(docs, items)
 
 
-def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and hashes of the remaining documents."""
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in their texts replaced by placeholders; n_chars follows the text."""
+    n_chars = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars")
+    return pii.sanitised(docs).withColumn("n_chars", n_chars)
+
+
+def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the remaining documents."""
     return bpe.round_trip(docs, vocabulary())
 
 
-STAGES = [("decontamination", decontamination), ("bpe", tokens)]
+STAGES = [
+    ("toxicity", without_toxicity),
+    ("jaccard", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("pii", without_personal_data),
+    ("bpe", as_tokens),
+]
 
-#: Training, component search and BPE are not expressible in SQL; tests compare with brute force.
+#: Training, token merging and the disclosure of terms have no SQL; a test compares with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, after every stage in order."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    base = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base = new_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         out = f"{base}/{k}-{name}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, media, pii, sharding, suffixes, toxicity, urlrules, warc
+from millrace.llm import bpe, decontaminate, jaccard, media, pii, sharding, suffixes, toxicity, urlrules, warc
 from millrace.llm.shared import new_folder
 
 #: The rules that op2 judges by: host, path, verdict.
@@ -33,6 +33,10 @@ def op2_url_filters(spark, sf_dir):
     return urlrules.judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op3_ngram_jaccard(spark, sf_dir):
+    return jaccard.similarity_components(_table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark, sf_dir):
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
 
@@ -76,6 +80,7 @@ def op10_decontamination(spark, sf_dir):
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_url_filters": op2_url_filters,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_sharding": op4_sharding,
     "op5_media_columns": op5_media_columns,
     "op6_toxicity": op6_toxicity,
@@ -113,6 +118,17 @@ ORACLES = {
                 row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) AS k
             FROM u LEFT JOIN rules ON (u.host = h OR ends_with(u.host, '.' || h)) AND starts_with(u.path, p))
         SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM hits WHERE k = 1""",
+    "op3_ngram_jaccard": f"""
+        WITH RECURSIVE {shingle_ctes("d", "documents", "doc_id")},
+        sizes AS (SELECT id, count(*) AS n FROM d_sets GROUP BY id),
+        shared AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM d_sets x JOIN d_sets y ON x.s = y.s AND x.id <> y.id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.id = a JOIN sizes q ON q.id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+        reach(node, goal) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.goal)
+        SELECT node AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(goal) AS component_id
+        FROM reach LEFT JOIN sizes ON id = node GROUP BY node""",
     "op7_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
         h AS (SELECT *, upper(sha1(body)) AS s, min(page_id) OVER (PARTITION BY body) AS first FROM p),

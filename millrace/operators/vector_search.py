@@ -33,3 +33,50 @@ def ranked(scored: DataFrame, k: int, key: str, score: str, rank: str) -> DataFr
 def rrf(rank: Column, k: int = 60) -> Column:
     """Reciprocal rank contribution; a missing rank adds nothing."""
     return F.coalesce(F.lit(1.0) / (F.lit(float(k)) + rank), F.lit(0.0))
+
+
+def blocked_pairs(left: DataFrame, right: DataFrame, min_cos: float, rows: int = 4096) -> DataFrame:
+    """Pairs (a, b) of ids whose cosine is above ``min_cos``, by blocks of ``left``.
+
+    ``left`` and ``right`` have id and vec. Each block is a matrix of at most ``rows``
+    vectors, whose size is thereby bounded; every task multiplies it with its own rows.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    blocks: list[tuple[list, object]] = []
+    ids, vectors = [], []
+
+    def close() -> None:
+        matrix = np.array(vectors, dtype=np.float64)
+        matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
+        blocks.append((list(ids), matrix))
+        ids.clear()
+        vectors.clear()
+
+    out = None
+    for row in left.select("id", "vec").toLocalIterator():
+        ids.append(row.id)
+        vectors.append(row.vec)
+        if len(ids) == rows:
+            close()
+    if ids:
+        close()
+    kind = right.schema["id"].dataType.simpleString()
+    for block in blocks:
+        shared = right.sparkSession.sparkContext.broadcast(block)
+
+        def multiply(batches, shared=shared):
+            own, matrix = shared.value
+            for batch in batches:
+                values = batch.column(1)
+                x = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+                x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+                i, j = np.nonzero(matrix @ x.T > min_cos)
+                yield pa.RecordBatch.from_arrays([pa.array([own[k] for k in i.tolist()], batch.column(0).type), batch.column(0).take(pa.array(j))], names=["a", "b"])
+
+        part = right.select("id", "vec").mapInArrow(multiply, f"a {kind}, b {kind}")
+        out = part if out is None else out.unionAll(part)
+    if out is None:
+        return right.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    return out

@@ -42,7 +42,7 @@ def parse_tags(text: Column) -> Column:
     """Tags of a JSON array or of a comma-separated list; trimmed, without blanks."""
     parsed = F.from_json(text, "array<string>")
     listed = F.when(text.startswith("["), parsed).otherwise(F.split(text, ","))
-    return F.filter(F.transform(F.coalesce(listed, F.array().cast("array<string>")), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.coalesce(listed, F.array().cast("array<string>")), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def without_fences(text: Column) -> Column:

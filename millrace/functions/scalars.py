@@ -47,7 +47,7 @@ def parse_tags(text: Column) -> Column:
 
 def without_fences(text: Column) -> Column:
     """Text of a model's answer without Markdown code fences."""
-    return F.trim(F.regexp_replace(text, r"(?m)^\s*```[A-Za-z]*\s*$", ""))
+    return F.regexp_replace(F.regexp_replace(text, r"(?m)^\s*```[A-Za-z]*\s*$", ""), r"^\s+|\s+$", "")
 
 
 def numbered_items(text: Column) -> Column:

@@ -176,9 +176,8 @@ def round_trip(docs: DataFrame, vocabulary: str, *, doc_id: str = "doc_id", text
         for batch in batches:
             counts, coded, decoded = [], [], []
             data, offsets = as_bytes(batch.column(1))
-            raw = data.tobytes()
             for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                ids = tokenizer.encode(raw[lo:hi].decode("utf-8", "replace"))
+                ids = tokenizer.encode(data[lo:hi].tobytes().decode("utf-8", "replace"))
                 counts.append(len(ids))
                 coded.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(tokenizer.decode(ids).encode()).hexdigest())

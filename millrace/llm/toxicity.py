@@ -207,8 +207,19 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
                 out.append(body)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["y", "sample"])
 
-    sample = sorted((r.y, bytes(r["sample"])) for r in rows.mapInArrow(cut, "y int, sample binary").toLocalIterator())
-    return fit([t for y, t in sample if y], [t for y, t in sample if not y], counts.get(1, 0), counts.get(0, 0))
+    n_toxic, n_ordinary = counts.get(1, 0), counts.get(0, 0)
+
+    def learn(batches):
+        sample = sorted(row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        model = fit([t for y, t in sample if y], [t for y, t in sample if not y], n_toxic, n_ordinary)
+        yield pa.RecordBatch.from_arrays([pa.array([model.ordinary], pa.binary()), pa.array([model.toxic], pa.binary()), pa.array([model.weights.tolist()], pa.list_(pa.float64()))], names=["ordinary", "toxic", "weights"])
+
+    # the bounded sample is learnt from in one task; the driver gets the dictionaries and weights
+    sample = rows.mapInArrow(cut, "y int, sample binary").repartition(1)
+    model = sample.mapInArrow(learn, "ordinary binary, toxic binary, weights array<double>").first()
+    if model is None:
+        return fit([], [], 0, 0)
+    return Model(bytes(model.ordinary), bytes(model.toxic), np.array(model.weights))
 
 
 def _scorer(shared):
@@ -219,8 +230,7 @@ def _scorer(shared):
         if not made:
             made.extend(model.compressors())
         data, offsets = as_bytes(column)
-        raw = data.tobytes()
-        x = [features(raw[lo:hi], *made, model.window) for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        x = [features(data[lo:hi].tobytes(), *made, model.window) for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
         return model.score(np.array(x).reshape(len(x), len(model.weights) - 1))
 
     return score

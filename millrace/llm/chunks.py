@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Bytes of hashes that one bucket receives, about.
 BUCKET_BYTES = 32 << 20
 _LAST = (1 << 63) - 1
@@ -78,14 +78,14 @@ def unpack(column: pa.ChunkedArray, dtype) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0, dtype)), np.array([len(p) for p in parts], dtype=np.int64)
 
 
-def shared_keys(rows: DataFrame, keys_of, buckets: int) -> DataFrame:
-    """Which 64-bit keys of a chunk's rows other rows have too: (chunk, bucket, shared).
+def key_counts(rows: DataFrame, keys_of, buckets: int) -> DataFrame:
+    """In how many rows each chunk's 64-bit keys are: (chunk, bucket, counts), for ``counts_of``.
 
     ``keys_of(table)`` gives the row and the key of each entry, a key at most once
-    in a row. A chunk sends each of its keys once, with a mark when several of its
-    rows have it; a bucket marks keys that several chunks sent. The low 32 bits and
-    the bucket stand for a key, so some keys count as shared that aren't; none that
-    is shared is missed.
+    in a row. A chunk sends each of its keys once, with its own number of rows; a
+    bucket adds these up and answers each chunk, unless all counts are 1. Counts end
+    at 65535. The low 32 bits and the bucket stand for a key, so a count may be too
+    high, but never too low, and equal keys have equal counts everywhere.
     """
 
     def send(table: pa.Table) -> pa.Table:
@@ -93,44 +93,39 @@ def shared_keys(rows: DataFrame, keys_of, buckets: int) -> DataFrame:
         found, counts = np.unique(keys, return_counts=True)
         bucket = bucket_of(found, buckets)
         first, last = runs(bucket)
-        low = found.astype(np.uint32)
-        own = (counts > 1).astype(np.uint8)
+        low, own = found.astype(np.uint32), np.minimum(counts, 65535).astype(np.uint16)
         return pa.table(
             {
                 "bucket": pa.array(bucket[first], pa.int32()),
                 "chunk": pa.array(np.full(len(first), table.column("chunk")[0].as_py()), pa.int32()),
                 "keys": pa.array([low[a:b].tobytes() for a, b in zip(first, last, strict=True)], pa.binary()),
-                "own": pa.array([np.packbits(own[a:b]).tobytes() for a, b in zip(first, last, strict=True)], pa.binary()),
+                "own": pa.array([own[a:b].tobytes() for a, b in zip(first, last, strict=True)], pa.binary()),
             }
         )
 
-    def judge(table: pa.Table) -> pa.Table:
-        keys, counts = unpack(table.column("keys"), np.uint32)
-        bits, sizes = unpack(table.column("own"), np.uint8)
-        ends, bit_ends = np.cumsum(counts), np.cumsum(sizes)
-        own = np.concatenate([np.unpackbits(bits[e - s : e], count=n) for e, s, n in zip(bit_ends, sizes, counts, strict=True)])
+    def add(table: pa.Table) -> pa.Table:
+        keys, sizes = unpack(table.column("keys"), np.uint32)
+        own, _ = unpack(table.column("own"), np.uint16)
         order = np.argsort(keys, kind="stable")
-        sorted_keys = keys[order]
-        start, end = runs(sorted_keys)
-        several = np.maximum(np.maximum.reduceat(own[order], start), end - start > 1)
-        shared = np.empty(len(keys), dtype=np.uint8)
-        shared[order] = np.repeat(several, end - start)
-        parts = [shared[e - n : e] for e, n in zip(ends, counts, strict=True)]
-        said = [i for i, p in enumerate(parts) if p.any()]
+        start, end = runs(keys[order])
+        counts = np.empty(len(keys), dtype=np.uint16)
+        counts[order] = np.repeat(np.minimum(np.add.reduceat(own[order].astype(np.int64), start), 65535).astype(np.uint16), end - start)
+        ends = np.cumsum(sizes)
+        parts = [counts[e - n : e] for e, n in zip(ends, sizes, strict=True)]
+        said = [i for i, p in enumerate(parts) if (p > 1).any()]
         take = pa.array(said, pa.int64())
-        return pa.table({"chunk": table.column("chunk").take(take).cast(pa.int32()), "bucket": table.column("bucket").take(take).cast(pa.int32()), "shared": pa.array([np.packbits(parts[i]).tobytes() for i in said], pa.binary())})
+        return pa.table({"chunk": table.column("chunk").take(take).cast(pa.int32()), "bucket": table.column("bucket").take(take).cast(pa.int32()), "counts": pa.array([parts[i].tobytes() for i in said], pa.binary())})
 
     sent = rows.groupBy("chunk").applyInArrow(send, "bucket int, chunk int, keys binary, own binary")
-    return sent.groupBy("bucket").applyInArrow(judge, "chunk int, bucket int, shared binary")
+    return sent.groupBy("bucket").applyInArrow(add, "chunk int, bucket int, counts binary")
 
 
-def shared_counts(table: pa.Table, said: pa.Table, keys_of, buckets: int) -> np.ndarray:
-    """Number of shared keys of each row of a chunk, with the chunk's rows of ``shared_keys``."""
-    row, keys = keys_of(table)
+def counts_of(keys: np.ndarray, said: pa.Table, buckets: int) -> np.ndarray:
+    """The count of each key of a chunk's ``keys_of``, from the chunk's rows of ``key_counts``."""
     found, inverse = np.unique(keys, return_inverse=True)
     bucket = bucket_of(found, buckets)
-    shared = np.zeros(len(found), dtype=np.int64)
-    for b, bits in zip(said.column("bucket").to_pylist(), said.column("shared").to_pylist(), strict=True):
+    counts = np.ones(len(found), dtype=np.uint16)
+    for b, packed in zip(said.column("bucket").to_pylist(), said.column("counts").to_pylist(), strict=True):
         lo, hi = np.searchsorted(bucket, [b, b + 1])
-        shared[lo:hi] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=hi - lo)
-    return np.bincount(row, weights=shared[inverse], minlength=table.num_rows).astype(np.int64)
+        counts[lo:hi] = np.frombuffer(packed, dtype=np.uint16)
+    return counts[inverse]

@@ -12,9 +12,11 @@ which loses no link:
 3. By all shingles: at least the share t of a set must be in other remaining sets.
 4. Quick links: under each of several orders, sets with the same first shingle are
    compared with the smallest id among them. Verified links make components.
-5. Prefix groups under three orders. Groups inside one component need no more work;
-   in the others, pairs of different components, of fitting sizes, that share prefix
-   shingles under all orders are verified by their exact index.
+5. Prefix groups under three orders, each of which has rare shingles first and those
+   of one rarity by another hash. A group inside one component needs no more work; a
+   set that is in a mixed group under all three orders stays. Sets that mixed groups
+   connect are a family. In blocks of a family, pairs of different components whose
+   sizes and parity bitmaps allow a link are verified by their exact index.
 
 No step makes the pairs of a group of copies: copies are one class, and near copies
 are one component after step 4, in which only one link for each set and order is
@@ -29,13 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.chunks import BUCKET_BYTES, CHUNK_BYTES, chunked, in_order, shared_counts, shared_keys
+from millrace.llm.chunks import BUCKET_BYTES, CHUNK_BYTES, chunked, counts_of, in_order, key_counts
 from millrace.llm.components import components
 from millrace.llm.shared import written
 from millrace.llm.text import SHINGLE, THRESHOLD_PERCENT, as_bytes, mix, prefix_size, shingles
 
 QUICK_ORDERS = 6
 PREFIX_ORDERS = 3
+BITMAP_BITS = 2048
+#: Sets in one block of a family, about.
+BLOCK_SETS = 512
 _U = np.uint64
 _LAST = (1 << 63) - 1
 
@@ -93,7 +98,7 @@ def _text_sets(rows: DataFrame, buckets: int, shingle: int, percent: int) -> Dat
         row = np.repeat(np.arange(len(n)), size)
         return row, tokens[at[:-1][row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)]
 
-    verdicts = shared_keys(rows, keys_of, buckets)
+    counts = key_counts(rows, keys_of, buckets)
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("tokens", pa.binary())])
 
     def keep(table: pa.Table, said: pa.Table) -> pa.Table:
@@ -103,12 +108,14 @@ def _text_sets(rows: DataFrame, buckets: int, shingle: int, percent: int) -> Dat
         table, tokens, at, h1, h2, first = parsed
         n = np.diff(at)
         needed = _extra((n * percent + 99) // 100)
-        stays = first & (n > 0) & (shared_counts(table, said, lambda t: keys_of(t, parsed), buckets) >= needed)
+        row, keys = keys_of(table, parsed)
+        others = np.bincount(row, weights=counts_of(keys, said, buckets) > 1, minlength=len(n))
+        stays = first & (n > 0) & (others >= needed)
         bounds = at.tolist()
         packed = [tokens[bounds[i] : bounds[i + 1]].tobytes() if s else None for i, s in enumerate(stays.tolist())]
         return pa.table({"id": table.column("id"), "n": n, "h1": h1, "h2": h2, "tokens": pa.array(packed, pa.binary())}, schema=schema)
 
-    return rows.groupBy("chunk").cogroup(verdicts.groupBy("chunk")).applyInArrow(keep, "id long, n long, h1 long, h2 long, tokens binary")
+    return rows.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(keep, "id long, n long, h1 long, h2 long, tokens binary")
 
 
 def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -117,22 +124,37 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _mostly_shared(sets: DataFrame, chunks: int, buckets: int, percent: int) -> DataFrame:
-    """Filter 3: sets of which the share ``percent`` at least is in other sets."""
+    """Filter 3: sets of which the share ``percent`` at least is in other sets, with each shingle's rarity.
+
+    rarity is the number of sets with the shingle, the first part of the orders of step 5.
+    """
     rows = sets.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
 
     def keys_of(table: pa.Table):
         tokens, at = _unpacked(table)
         return np.repeat(np.arange(table.num_rows), np.diff(at)), tokens
 
-    verdicts = shared_keys(rows, keys_of, buckets)
+    counts = key_counts(rows, keys_of, buckets)
 
     def keep(table: pa.Table, said: pa.Table) -> pa.Table:
-        if table.num_rows:
-            n = table.column("n").to_numpy()
-            table = table.filter(pa.array(100 * shared_counts(table, said, keys_of, buckets) >= percent * n))
-        return table.select(["id", "n", "tokens"])
+        row, keys = keys_of(table)
+        rarity = counts_of(keys, said, buckets)
+        n = table.column("n").to_numpy()
+        stays = 100 * np.bincount(row, weights=rarity > 1, minlength=len(n)) >= percent * n
+        ends = np.cumsum(n)
+        packed = [rarity[e - k : e].tobytes() for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+        return table.select(["id", "n", "tokens"]).append_column("rarity", pa.array(packed, pa.binary())).filter(pa.array(stays))
 
-    return rows.groupBy("chunk").cogroup(verdicts.groupBy("chunk")).applyInArrow(keep, "id long, n long, tokens binary")
+    return rows.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(keep, "id long, n long, tokens binary, rarity binary")
+
+
+def parity(tokens: np.ndarray) -> bytes:
+    """A bitmap with the parity of the number of shingles that fall on each bit.
+
+    Two bitmaps differ in at most as many bits as their sets differ in shingles.
+    """
+    bits = np.bincount((tokens >> _U(20)).astype(np.int64) % BITMAP_BITS, minlength=BITMAP_BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -157,25 +179,26 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _entries(sets: DataFrame, pick, extra: tuple[str, ...] = ()) -> DataFrame:
-    """(kind, token, id, ...) rows; pick(tokens of a set) gives the kinds and the tokens."""
+    """(kind, token, id, ...) rows; pick(tokens and rarities of a set) gives the kinds and the tokens."""
 
     def run(batches):
         for batch in batches:
             table = pa.Table.from_batches([batch])
             tokens, at = _unpacked(table)
-            picked = [pick(tokens[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            rarity = np.frombuffer(as_bytes(table.column("rarity"))[0].tobytes(), dtype=np.uint16)
+            picked = [pick(tokens[a:b], rarity[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             rows = pa.array(np.repeat(np.arange(len(picked)), [len(k) for k, _ in picked]))
             kinds = np.concatenate([k for k, _ in picked]) if picked else np.zeros(0)
             found = np.concatenate([t for _, t in picked]) if picked else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(found.view(np.int64)), *(batch.column(c).take(rows) for c in ("id", *extra))], names=["kind", "token", "id", *extra])
 
-    return sets.select("id", "tokens", *extra).mapInArrow(run, ", ".join(["kind int, token long, id long", *(f"{c} long" for c in extra)]))
+    return sets.select("id", "tokens", "rarity", *extra).mapInArrow(run, ", ".join(["kind int, token long, id long", *(f"{c} long" for c in extra)]))
 
 
 def _quick_pairs(sets: DataFrame) -> DataFrame:
     """Each set with the smallest id that has the same first shingle, under several orders."""
 
-    def pick(tokens: np.ndarray):
+    def pick(tokens: np.ndarray, _):
         return np.arange(QUICK_ORDERS), np.array([tokens[under_order(tokens, 11 + k).argmin()] for k in range(QUICK_ORDERS)], dtype=np.uint64)
 
     rows = _entries(sets, pick)
@@ -183,23 +206,75 @@ def _quick_pairs(sets: DataFrame) -> DataFrame:
     return rows.join(least, ["kind", "token"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
 
 
-def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share prefix shingles under all orders; ``sets`` has component."""
+def _families(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, family) of sets that may have a link to another component; such links stay inside a family.
+
+    ``sets`` has component. Under each order, only prefix shingles of several components
+    matter; a set stays if it has such a one under all orders. Sets that share one under
+    the first order are one family. All joins here give a row for each entry at most.
+    """
 
-    def pick(tokens: np.ndarray):
+    def pick(tokens: np.ndarray, rarity: np.ndarray):
         size = int(prefix_size(len(tokens), percent))
-        parts = [tokens[np.argpartition(under_order(tokens, k), size - 1)[:size]] for k in range(PREFIX_ORDERS)]
+        parts = [tokens[np.lexsort((under_order(tokens, k), rarity))[:size]] for k in range(PREFIX_ORDERS)]
         return np.repeat(np.arange(PREFIX_ORDERS), size), np.concatenate(parts)
 
-    rows = _entries(sets, pick, ("n", "component"))
+    rows = _entries(sets, pick, ("component",))
     mixed = rows.groupBy("kind", "token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("kind", "token")
-    open_rows = rows.join(mixed, ["kind", "token"])
-    other = open_rows.select("kind", "token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    fits = (F.col("component") < F.col("other")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    pairs = open_rows.join(other, ["kind", "token"]).where(fits)
-    # one bit for each order in which the pair has met
-    met = pairs.groupBy(F.col("id").alias("a"), "b").agg(F.bit_or(F.expr("shiftleft(1, kind)")).alias("orders"))
-    return met.where(F.col("orders") == (1 << PREFIX_ORDERS) - 1).select("a", "b")
+    open_rows = written(rows.join(mixed, ["kind", "token"]).select("kind", "token", "id"), "open")
+    # one bit for each order
+    met = open_rows.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, kind)")).alias("orders")).where(F.col("orders") == (1 << PREFIX_ORDERS) - 1)
+    lead = open_rows.where("kind = 0").join(met.select("id"), "id", "left_semi")
+    least = lead.groupBy("token").agg(F.min("id").alias("a"))
+    links = lead.join(least, "token").select("a", F.col("id").alias("b"))
+    return components(links).select(F.col("node").alias("id"), F.col("component").alias("family"))
+
+
+def _open_pairs(sets: DataFrame, families: DataFrame, partitions: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of a family, of different components, that sizes and parity bitmaps don't rule out.
+
+    A family is dealt into blocks of about BLOCK_SETS, and each pair of blocks is one
+    group with its bitmaps, so the pairs that fail are never rows. Families of one block
+    share groups.
+    """
+
+    def mapped(batches):
+        for batch in batches:
+            tokens, at = _unpacked(pa.Table.from_batches([batch.select(["tokens"])]))
+            maps = [parity(tokens[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "n", "component", "family", "blocks")), pa.array(maps, pa.binary())], names=["id", "n", "component", "family", "blocks", "bitmap"])
+
+    blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("blocks")).where("blocks > 0")
+    members = sets.join(families, "id").join(blocks, "family").select("id", "n", "component", "family", "blocks", "tokens")
+    bits = members.mapInArrow(mapped, "id long, n long, component long, family long, blocks long, bitmap binary")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    dealt = bits.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    single = F.col("blocks") == 1
+    dealt = dealt.withColumns({"single": single, "grp": F.when(single, F.pmod(F.xxhash64("family"), F.lit(partitions))).otherwise(F.col("family")), "lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+
+    def compare(table: pa.Table) -> pa.Table:
+        family, block, ids, n, component = (table.column(c).to_numpy() for c in ("family", "own", "id", "n", "component"))
+        maps = np.frombuffer(as_bytes(table.column("bitmap"))[0].tobytes(), dtype=np.uint64).reshape(len(ids), BITMAP_BITS // 64)
+        found = []
+        order = np.argsort(family, kind="stable")
+        edges = np.flatnonzero(np.diff(family[order])) + 1
+        for rows in np.split(order, edges):
+            right = rows if table.column("lo")[0].as_py() == table.column("hi")[0].as_py() else rows[block[rows] == table.column("hi")[0].as_py()]
+            left = rows if right is rows else rows[block[rows] == table.column("lo")[0].as_py()]
+            for at in range(0, len(left), 64):
+                x = left[at : at + 64]
+                apart = np.bitwise_count(maps[x][:, None, :] ^ maps[right][None, :, :]).sum(axis=2, dtype=np.int64)
+                total = n[x][:, None] + n[right][None, :]
+                # intersection <= (total - apart) / 2 and union >= (total + apart) / 2
+                may = (100 * (total - apart) >= percent * (total + apart)) & (component[x][:, None] != component[right][None, :])
+                if right is rows:
+                    may &= ids[x][:, None] < ids[right][None, :]
+                i, j = np.nonzero(may)
+                found.append(np.stack([ids[x[i]], ids[right[j]]]))
+        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+
+    return dealt.groupBy("single", "grp", "lo", "hi").applyInArrow(compare, "a long, b long")
 
 
 def similarity_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = THRESHOLD_PERCENT) -> DataFrame:
@@ -221,8 +296,10 @@ def similarity_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str
     near = written(_mostly_shared(first, max(partitions, -(-size // CHUNK_BYTES)), max(2 * partitions, size // BUCKET_BYTES), percent), "near")
     quick = written(verified(_quick_pairs(near), near, percent), "quick")
     found = components(quick)
-    placed = near.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "tokens", F.coalesce("component", "id").alias("component"))
-    slow = verified(_prefix_pairs(placed, percent), near, percent)
+    placed = near.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "tokens", "rarity", F.coalesce("component", "id").alias("component"))
+    families = written(_families(placed, percent), "families")
+    open_pairs = written(_open_pairs(placed, families, partitions, percent), "pairs")
+    slow = verified(open_pairs, near, percent)
     final = components(quick.unionAll(slow))
     of_class = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", F.col("n").alias("m"), F.coalesce("component", "rep").alias("component"))
     keyed = sets.select("id", "n", "h1", "h2")

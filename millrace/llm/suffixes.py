@@ -40,6 +40,10 @@ SPAN = 50
 GRAM = 16
 #: Suffixes in a batch of the index, at least.
 BATCH = 1 << 16
+#: The index has so many times the buckets of the first step, as it holds bytes instead of hashes.
+FINER = 4
+#: Suffixes of which an index in memory is made at once, about.
+SHARE = 400_000
 _U = np.uint64
 _LOW = _U((1 << 24) - 1)
 #: Codes for hashing exact bytes; those of ``text`` fold case.
@@ -162,6 +166,17 @@ def _distinct(anchors: np.ndarray, contents: np.ndarray):
     return order, start
 
 
+def _share_of(data: np.ndarray, span: int, shares: int) -> np.ndarray:
+    """A share for each position, by the eight bytes from there on."""
+    n = len(data) - span + 1
+    hashed = np.zeros(n, dtype=np.uint32)
+    for j in range(8):
+        hashed *= np.uint32(0x9E3779B1)
+        hashed += data[j : j + n]
+    hashed ^= hashed >> np.uint32(15)
+    return (hashed % np.uint32(shares)).astype(np.uint8)
+
+
 REPEATED, CONTESTED = 1, 2
 
 
@@ -187,11 +202,11 @@ def _dense_rank(ids: np.ndarray) -> np.ndarray:
 
 def _covered(offsets: np.ndarray, runs_: np.ndarray, span: int) -> np.ndarray:
     """Mask of the bytes that repeated strings cover; runs_ has rows (row, start, number)."""
-    edge = np.zeros(int(offsets[-1]) + 1, dtype=np.int64)
+    edge = np.zeros(int(offsets[-1]) + 1, dtype=np.int32)
     first = offsets[runs_[:, 0]] + runs_[:, 1]
     np.add.at(edge, first, 1)
     np.add.at(edge, first + runs_[:, 2] + span - 1, -1)
-    return np.cumsum(edge)[:-1] > 0
+    return np.cumsum(edge, out=edge)[:-1] > 0
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, with_text: bool = True) -> DataFrame:
@@ -262,7 +277,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         repeated = (code == REPEATED) | (rank[row] > earliest)
         repeats = np.column_stack([row, start, length])[repeated].astype(np.int64)
         sends = order[(code == CONTESTED)[order] & ~repeated[order]]
-        target = bucket_of(anchors[sends], buckets)
+        target = bucket_of(anchors[sends], FINER * buckets)
         lo, hi = runs(target)
         sizes = length[sends] + span - 1
         begin = offsets[row[sends]] + start[sends]
@@ -272,7 +287,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         places = np.column_stack([rank[row[sends]], row[sends], start[sends]]).astype(np.int64)
         spans = list(zip(lo.tolist(), hi.tolist(), strict=True))
         out = {
-            "bucket": [*target[lo].tolist(), chunk % buckets],
+            "bucket": [*target[lo].tolist(), chunk % (FINER * buckets)],
             "chunk": [chunk] * (len(spans) + 1),
             "places": [*(places[a:b].tobytes() for a, b in spans), b""],
             "lengths": [*(length[sends[a:b]].astype(np.int32).tobytes() for a, b in spans), b""],
@@ -295,28 +310,36 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         length = length.astype(np.int64)
         begin = np.cumsum(length + span - 1) - (length + span - 1)
         order = np.argsort(document, kind="stable")
-        levels, at = SuffixLevels(span), 0
+        found = [(int(k), r) for k, r in zip(chunks, table.column("repeats").to_pylist(), strict=True) if r]
+        if not len(order):
+            return pa.table({"chunk": pa.array([f[0] for f in found], pa.int32()), "repeats": pa.array([f[1] for f in found], pa.binary())})
         total = np.cumsum(length[order])
-        views = sliding_window_view(data, span) if len(data) >= span else None
-        found: list[tuple[int, bytes]] = [(int(k), r) for k, r in zip(chunks, table.column("repeats").to_pylist(), strict=True) if r]
-        while at < len(order):
-            to = int(np.searchsorted(total, (total[at - 1] if at else 0) + BATCH, side="left")) + 1
-            batch = order[at:to]
-            n = length[batch]
-            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            suffixes = np.ascontiguousarray(views[np.repeat(begin[batch], n) + inner]).view(levels.kind).ravel()
-            seen = levels.add(suffixes, np.repeat(document[batch], n))
-            owner = np.repeat(np.arange(len(batch)), n)[seen]
-            inner = inner[seen]
-            if len(owner):
-                new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (inner[1:] != inner[:-1] + 1)))
-                head = np.flatnonzero(new)
-                amount = np.diff(np.append(head, len(owner)))
-                source = batch[owner[head]]
-                triples = np.column_stack([places[source, 1], places[source, 2] + inner[head], amount])
-                for a, b in zip(*runs(chunk[source]), strict=True):
-                    found.append((int(chunk[source[a]]), triples[a:b].astype(np.int64).tobytes()))
-            at = to
+        views = sliding_window_view(data, span)
+        # a large bucket is gone through several times, each with an index of one part of the suffixes
+        shares = min(250, 1 + int(total[-1]) // SHARE)
+        share = _share_of(data, span, shares)
+        for k in range(shares):
+            levels, at = SuffixLevels(span), 0
+            while at < len(order):
+                to = int(np.searchsorted(total, (total[at - 1] if at else 0) + min(shares, 8) * BATCH, side="left")) + 1
+                batch = order[at:to]
+                n = length[batch]
+                inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                owner = np.repeat(np.arange(len(batch)), n)
+                mine = np.flatnonzero(share[begin[batch][owner] + inner] == k) if shares > 1 else slice(None)
+                inner, owner = inner[mine], owner[mine]
+                suffixes = np.ascontiguousarray(views[begin[batch][owner] + inner]).view(levels.kind).ravel()
+                seen = levels.add(suffixes, document[batch][owner])
+                owner, inner = owner[seen], inner[seen]
+                if len(owner):
+                    new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (inner[1:] != inner[:-1] + 1)))
+                    head = np.flatnonzero(new)
+                    amount = np.diff(np.append(head, len(owner)))
+                    source = batch[owner[head]]
+                    triples = np.column_stack([places[source, 1], places[source, 2] + inner[head], amount])
+                    for a, b in zip(*runs(chunk[source]), strict=True):
+                        found.append((int(chunk[source[a]]), triples[a:b].astype(np.int64).tobytes()))
+                at = to
         return pa.table({"chunk": pa.array([f[0] for f in found], pa.int32()), "repeats": pa.array([f[1] for f in found], pa.binary())})
 
     repeats = contested.groupBy("bucket").applyInArrow(index, "chunk int, repeats binary")

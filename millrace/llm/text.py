@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 SHINGLE = 5
 THRESHOLD_PERCENT = 75
 #: Bytes of text handled at once; a longer text is cut at white space.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -1,12 +1,12 @@
 """Toxicity by compression distance, with two zstandard dictionaries.
 
 One dictionary is trained on ordinary text, the other on toxic text: the parts of
-words that toxic training documents hold far more often than ordinary ones. A
-text is cut into windows at white space; each window is compressed with the
-ordinary dictionary and with the ordinary followed by the toxic one, and the gain
-is the difference of the two lengths. The gains of a text's windows (largest two,
-sums beyond thresholds, number of windows) go into a logistic calibration, fitted
-on the training rows and weighted to the share of either label.
+words that toxic training documents hold more often, counted by occurrences, than
+ordinary ones can by chance. A text is cut into windows at white space; each window
+is compressed with the ordinary dictionary and with the ordinary followed by the
+toxic one, and the gain is the difference of the two lengths. The gains of a text's
+windows (largest two, sums beyond thresholds, number of windows) go into a logistic
+calibration, fitted on the training rows and weighted to the share of either label.
 
 The sample to fit on is bounded by ``train_rows`` documents of each label and
 ``train_bytes`` of each document, taken as evenly spaced windows. Scoring reads
@@ -32,8 +32,8 @@ WINDOW = 64
 LEVEL = 3
 ORDINARY_SIZE, TOXIC_SIZE = 16 << 10, 4 << 10
 GRAMS = (5, 6, 7)
-#: A byte n-gram counts as toxic from this z score and this ratio of document shares on.
-MIN_Z, MIN_RATIO = 6.0, 10.0
+#: A byte n-gram counts as toxic from this z score of its occurrences in a document on.
+MIN_Z = 6.0
 FOLDS, HELD_OUT = 5, 0
 _GAINS = (1.0, 2.0, 3.0)
 
@@ -69,27 +69,34 @@ def _grams(text: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _document_counts(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
-    found = [np.unique(_grams(t, n)) for t in texts]
-    return np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+def _moments(texts: list[bytes], n: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and sum of squares, over the texts, of the occurrences of each of the sorted ``grams``."""
+    total, squares = np.zeros(len(grams)), np.zeros(len(grams))
+    for text in texts:
+        found, count = np.unique(_grams(text, n), return_counts=True)
+        place = np.searchsorted(grams, found)
+        place[place == len(grams)] = 0
+        hit = grams[place] == found
+        total[place[hit]] += count[hit]
+        squares[place[hit]] += count[hit].astype(float) ** 2
+    return total, squares
 
 
 def toxic_grams(toxic: list[bytes], ordinary: list[bytes], n: int) -> np.ndarray:
-    """n-grams inside words (or from the space before one) that toxic documents hold far more often."""
-    grams, a = _document_counts(toxic, n)
-    others, count = _document_counts(ordinary, n)
-    if not len(grams) or not len(others):
-        return grams[:0]
-    place = np.searchsorted(others, grams)
-    place[place == len(others)] = 0
-    b = np.where(others[place] == grams, count[place], 0)
-    share_a, share_b = a / len(toxic), b / len(ordinary)
-    q = (a + b) / (len(toxic) + len(ordinary))
-    z = (share_a - share_b) / np.sqrt(np.maximum(q * (1 - q), 1e-9) * (1 / len(toxic) + 1 / len(ordinary)))
-    good = (z >= MIN_Z) & (share_a >= MIN_RATIO * (b + 0.5) / len(ordinary))
+    """n-grams inside words (or from the space before one) that toxic documents repeat beyond chance."""
+    found = [np.unique(_grams(t, n)) for t in toxic]
+    grams = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
     for j in range(1, n):
-        good &= ((grams >> np.uint64(8 * j)) & np.uint64(255)) != 32
-    return grams[good]
+        grams = grams[((grams >> np.uint64(8 * j)) & np.uint64(255)) != 32]
+    if not len(grams) or not ordinary:
+        return grams[:0]
+    a, a_squares = _moments(toxic, n, grams)
+    b, b_squares = _moments(ordinary, n, grams)
+    rows = len(toxic) + len(ordinary)
+    mean = (a + b) / rows
+    variance = np.maximum((a_squares + b_squares) / rows - mean**2, 1e-9)
+    z = (a / len(toxic) - b / len(ordinary)) / np.sqrt(variance * (1 / len(toxic) + 1 / len(ordinary)))
+    return grams[z >= MIN_Z]
 
 
 def toxic_segments(toxic: list[bytes], grams: dict[int, np.ndarray]) -> list[bytes]:

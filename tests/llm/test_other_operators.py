@@ -148,6 +148,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.without_toxic(docs, none).columns == docs.columns
 
 
+def test_toxic_words_that_ordinary_rows_hold_by_chance_are_learnt():
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
+    bad = ["zoqutix", "wukjomp", "xyvorun"]
+    text = lambda n: " ".join([word() for _ in range(60 - n)] + [draw.choice(bad) for _ in range(n)]).encode()
+    # a toxic row repeats the words, every second ordinary row holds one: no ratio of document shares reaches 10
+    toxic, ordinary = [text(8) for _ in range(100)], [text(i % 2) for i in range(400)]
+    found = {int(g).to_bytes(8, "little")[:5] for g in toxicity.toxic_grams(toxic, ordinary, 5)}
+    assert found >= {f" {w}"[:5].encode() for w in bad}
+    assert not any(set(g) <= set(b" abcdefgh") for g in found)
+
+
 def test_windows_hold_the_whole_text():
     for body in (b"", b"a" * 200, b"ab cd " * 50, b" " * 130):
         assert b"".join(toxicity.windows(body)) == body

@@ -8,9 +8,11 @@ near the entity, and takes
 
     disclosure = PMI(term; entity) / IC(entity)
 
-which is 1 when the term occurs only with the entity. Terms of ``min_disclosure``
-or more, seen near the entity in ``min_texts`` different texts, are spans of the
-kind ``term``; sanitising removes or generalises them with the base spans.
+where the documents with the term count ``SMOOTHING`` more, all without the entity:
+a term's few sightings are weak evidence, the weaker the smaller the corpus. A term
+that occurs only with the entity has nearly 1. Terms of ``min_disclosure`` or more
+are spans of the kind ``term``, those of an entity in a single document among them;
+sanitising removes or generalises them with the base spans.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ TERM = "term"
 CONTEXT = 48
 MIN_TERM_CHARS = 3
 MIN_DISCLOSURE = 0.75
-MIN_TEXTS = 2
+#: Documents without the entity that each term is credited with.
+SMOOTHING = 1.5
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", TERM: "[TERM]"}
 
 # Each pattern finds the leftmost non-overlapping matches of the plain pattern in linear
@@ -118,23 +121,23 @@ def _contexts(dirty: DataFrame) -> DataFrame:
     return placed.where(apart).drop("_spans")
 
 
-def disclosing_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_disclosure: float = MIN_DISCLOSURE, min_texts: int = MIN_TEXTS) -> DataFrame:
+def disclosing_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_disclosure: float = MIN_DISCLOSURE) -> DataFrame:
     """(_doc, _hash, _terms): the added spans of each distinct (id, text) that has any.
 
-    All counts are of documents over the whole corpus; a pair's support is counted in
-    different texts, so copies of one text alone are no evidence.
+    All counts are of documents over the whole corpus. No pair is left out for its
+    support; the smoothed score alone decides.
     """
     read = docs.select(F.col(doc_id).alias("_doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     keyed = with_base_spans(read, "_text", "_spans").where(F.size("_spans") > 0).withColumn("_hash", F.md5("_text"))
     contexts = _contexts(keyed)
     pair_texts = contexts.groupBy("entity", "term", "_hash").agg(F.count_distinct("_doc").alias("d"))
-    pairs = pair_texts.groupBy("entity", "term").agg(F.sum("d").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= min_texts)
+    pairs = pair_texts.groupBy("entity", "term").agg(F.sum("d").alias("both"))
     mentions = keyed.select("_doc", "_hash", F.explode("_spans").alias("s")).select("_doc", "_hash", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"))
     entities = mentions.groupBy("entity", "_hash").agg(F.count_distinct("_doc").alias("d")).groupBy("entity").agg(F.sum("d").alias("with_entity"))
     words = F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(r"[\p{L}\p{N}]{%d,}+" % MIN_TERM_CHARS), F.lit(0)))
     terms = read.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
     total = read.agg(F.count("*").alias("documents"))
-    pmi = F.log(F.col("both") * F.col("documents") / (F.col("with_term") * F.col("with_entity")))
+    pmi = F.log(F.col("both") * F.col("documents") / ((F.col("with_term") + SMOOTHING) * F.col("with_entity")))
     content = F.log(F.col("documents") / F.col("with_entity"))
     known = pairs.join(entities, "entity").join(terms, "term").crossJoin(F.broadcast(total))
     disclosing = known.where((content > 0) & (pmi / content >= min_disclosure)).select("entity", "term")

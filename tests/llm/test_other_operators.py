@@ -271,6 +271,14 @@ def test_disclosing_terms_are_found_and_replaced(spark):
     assert pii.find_spans(docs.limit(0)).count() == 0
 
 
+def test_terms_of_an_entity_in_one_document_are_found(spark):
+    rows = [(i, f"common words about nothing number {chr(97 + i % 26)}") for i in range(60)]
+    docs = edge_docs(spark, [*rows, (100, "common words, Quixbury at q@r.st, about nothing")])
+    spans = {r.doc_id: r.spans for r in pii.find_spans(docs).collect()}
+    assert spans[100] == "term:14:22,email:26:32" and not any(spans[i] for i, _ in rows)
+    assert {r.doc_id: r.text for r in pii.sanitised(docs).collect()}[100] == "common words, [TERM] at [EMAIL], about nothing"
+
+
 # --- pipeline ----------------------------------------------------------------------------------------------------
 
 

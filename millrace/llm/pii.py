@@ -1,30 +1,31 @@
 """Personal data: pattern spans, and terms that disclose the entities they stand with.
 
 Everything here is DataFrame expressions. Base spans come from four patterns. The
-information-theoretic part (in the manner of C-sanitisation) then looks at terms
-near an entity, an entity being a kind and a value of base spans. Over the whole
-corpus it counts the documents with the term, with the entity, and with the term
-near the entity, and takes
+information-theoretic part (in the manner of C-sanitisation) then looks at the terms
+of documents that hold an entity, an entity being a kind and a value of base spans.
+Over the whole corpus it counts the documents with the term, with the entity, and
+with both, wherever in the document they stand, and takes
 
     disclosure = PMI(term; entity) / IC(entity)
 
 where the documents with the term count ``SMOOTHING`` more, all without the entity:
 a term's few sightings are weak evidence, the weaker the smaller the corpus. A term
 that occurs only with the entity has nearly 1. Terms of ``min_disclosure`` or more
-are spans of the kind ``term``, those of an entity in a single document among them;
-sanitising removes or generalises them with the base spans.
+are spans of the kind ``term`` wherever they occur in a document that holds the
+entity; sanitising removes or generalises them with the base spans.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.shared import written
+
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-#: Characters on either side of an entity in which terms are looked for.
-CONTEXT = 48
 MIN_TERM_CHARS = 3
+_WORD = r"[\p{L}\p{N}]{%d,}+" % MIN_TERM_CHARS
 MIN_DISCLOSURE = 0.75
 #: Documents without the entity that each term is credited with.
 SMOOTHING = 1.5
@@ -98,51 +99,51 @@ def joined_spans(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def _contexts(dirty: DataFrame) -> DataFrame:
-    """(_doc, _hash, entity, term, start, end) of each term near each base span.
+def _words(text: str) -> Column:
+    """The different terms of a text: runs of letters and digits, in lower case."""
+    found = F.regexp_extract_all(F.col(text), F.lit(_WORD), F.lit(0))
+    return F.array_distinct(F.transform(F.array_distinct(found), F.lower))
 
-    Terms are runs of letters and digits; one that the window's outer edge may cut is left out.
-    """
-    mention = dirty.select("_doc", "_hash", "_text", "_spans", F.explode("_spans").alias("s"))
-    entity = F.concat_ws(":", "s.kind", F.lower("s.value"))
-    left_at = F.greatest(F.col("s.start") - CONTEXT, F.lit(0))
-    sides = F.array(
-        F.struct(left_at.alias("at"), F.expr("substring(_text, greatest(s.start - {0}, 0) + 1, least(s.start, {0}))".format(CONTEXT)).alias("body"), (left_at > 0).alias("cut_left"), F.lit(False).alias("cut_right")),
-        F.struct(F.col("s.end").alias("at"), F.expr(f"substring(_text, s.end + 1, {CONTEXT})").alias("body"), F.lit(False).alias("cut_left"), (F.length("_text") > F.col("s.end") + CONTEXT).alias("cut_right")),
-    )
-    side = mention.select("_doc", "_hash", "_spans", entity.alias("entity"), F.explode(sides).alias("c"))
-    side = side.select("_doc", "_hash", "_spans", "entity", "c.*")
-    found = _with_matches(side, "body", "t", r"[\p{L}\p{N}]+", F.lit(True))
-    make = lambda m, s: F.struct(F.lower(m).alias("term"), s.alias("from"), (s + F.length(m)).alias("to"))
-    terms = found.select("_doc", "_hash", "_spans", "entity", "at", "cut_left", "cut_right", F.length("body").alias("n"), F.explode(_located(F.col("_m_t"), F.col("_g_t"), make)).alias("t"))
-    whole = (F.length("t.term") >= MIN_TERM_CHARS) & ~(F.col("cut_left") & (F.col("t.from") == 0)) & ~(F.col("cut_right") & (F.col("t.to") == F.col("n")))
-    placed = terms.where(whole).select("_doc", "_hash", "_spans", "entity", F.col("t.term").alias("term"), (F.col("at") + F.col("t.from")).alias("start"), (F.col("at") + F.col("t.to")).alias("end"))
-    apart = F.forall("_spans", lambda s: (s["end"] <= F.col("start")) | (s["start"] >= F.col("end")))
-    return placed.where(apart).drop("_spans")
-
-
-def disclosing_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_disclosure: float = MIN_DISCLOSURE) -> DataFrame:
-    """(_doc, _hash, _terms): the added spans of each distinct (id, text) that has any.
-
-    All counts are of documents over the whole corpus. No pair is left out for its
-    support; the smoothed score alone decides.
+
+def _occurrences(texts: DataFrame) -> DataFrame:
+    """(_key, term, start, end) of each term of each text; a running sum of lengths gives the places."""
+    found = _with_matches(texts.select("_key", "_text"), "_text", "t", _WORD, F.lit(True))
+    pieces = found.select("_key", F.posexplode(F.arrays_zip(F.col("_g_t").alias("gap"), F.col("_m_t").alias("word"))).alias("k", "p"))
+    pieces = pieces.select("_key", "k", F.lower("p.word").alias("term"), F.length("p.gap").alias("gap"), F.length("p.word").alias("n")).where(F.col("term").isNotNull())
+    end = F.sum(F.col("gap") + F.col("n")).over(Window.partitionBy("_key").orderBy("k"))
+    return pieces.select("_key", "term", (end - F.col("n")).cast("int").alias("start"), end.cast("int").alias("end"))
+
+
+def disclosing_spans(docs: DataFrame, *, text: str = "text", min_disclosure: float = MIN_DISCLOSURE) -> DataFrame:
+    """(_hash, _terms): the added spans of each distinct text that has any, also those that base spans overlap.
+
+    All counts are of rows over the whole corpus. No pair is left out for its support
+    or its distance; the smoothed score alone decides.
     """
-    read = docs.select(F.col(doc_id).alias("_doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
-    keyed = with_base_spans(read, "_text", "_spans").where(F.size("_spans") > 0).withColumn("_hash", F.md5("_text"))
-    contexts = _contexts(keyed)
-    pair_texts = contexts.groupBy("entity", "term", "_hash").agg(F.count_distinct("_doc").alias("d"))
-    pairs = pair_texts.groupBy("entity", "term").agg(F.sum("d").alias("both"))
-    mentions = keyed.select("_doc", "_hash", F.explode("_spans").alias("s")).select("_doc", "_hash", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"))
-    entities = mentions.groupBy("entity", "_hash").agg(F.count_distinct("_doc").alias("d")).groupBy("entity").agg(F.sum("d").alias("with_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(r"[\p{L}\p{N}]{%d,}+" % MIN_TERM_CHARS), F.lit(0)))
-    terms = read.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
+    read = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    dirty = with_base_spans(read, "_text", "_spans").where(F.size("_spans") > 0)
+    mentioned = F.array_distinct(F.transform("_spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
+    distinct = dirty.groupBy(F.md5("_text").alias("_hash")).agg(F.count("*").alias("d"), F.first("_text").alias("_text"), F.first(mentioned).alias("_entities"))
+    texts = written(distinct.withColumn("_key", F.monotonically_increasing_id()), "pii")
+    entities = texts.select("d", F.explode("_entities").alias("entity")).groupBy("entity").agg(F.sum("d").alias("with_entity"))
+    contexts = texts.select("_key", "d", "_entities", F.explode(_words("_text")).alias("term")).select("_key", "d", "term", F.explode("_entities").alias("entity"))
+    pairs = contexts.groupBy("entity", "term").agg(F.sum("d").alias("both"))
+    terms = read.select(F.explode(_words("_text")).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
     total = read.agg(F.count("*").alias("documents"))
     pmi = F.log(F.col("both") * F.col("documents") / ((F.col("with_term") + SMOOTHING) * F.col("with_entity")))
     content = F.log(F.col("documents") / F.col("with_entity"))
     known = pairs.join(entities, "entity").join(terms, "term").crossJoin(F.broadcast(total))
     disclosing = known.where((content > 0) & (pmi / content >= min_disclosure)).select("entity", "term")
-    span = F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), F.lit(TERM).alias("kind"), F.lit(len(KINDS)).alias("rank"), F.col("term").alias("value"))
-    return contexts.join(disclosing, ["entity", "term"]).groupBy("_doc", "_hash").agg(F.collect_set(span).alias("_terms"))
+    wanted = contexts.join(disclosing, ["entity", "term"]).select("_key", "term").distinct()
+    span = F.struct("start", "end", F.lit(TERM).alias("kind"), F.lit(len(KINDS)).alias("rank"), F.col("term").alias("value"))
+    placed = _occurrences(texts).join(wanted, ["_key", "term"]).groupBy("_key").agg(F.collect_list(span).alias("_terms"))
+    return texts.select("_key", "_hash").join(placed, "_key").select("_hash", "_terms")
+
+
+def _every(spans: Column, terms: Column) -> Column:
+    """Base spans and the added spans apart from them, in order."""
+    apart = F.filter(F.coalesce(terms, F.array()).cast(_SPAN), lambda t: F.forall(spans, lambda s: (s["end"] <= t["start"]) | (s["start"] >= t["end"])))
+    return F.array_sort(F.concat(spans, apart), lambda a, b: (a["start"] - b["start"]) * 8 + (a["rank"] - b["rank"]))
 
 
 def find_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
@@ -156,12 +157,12 @@ def find_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", *
     based = with_base_spans(read, "_text", "_spans")
     # rows without base spans can't have added ones; their join key is null, and they stay where they are
     keyed = based.select("_doc", F.when(F.size("_spans") > 0, F.md5("_text")).alias("_hash"), "_spans")
-    added = disclosing_spans(docs, doc_id=doc_id, text=text, **limits).select(F.col("_doc").alias("_other"), F.col("_hash").alias("_key"), "_terms")
+    added = disclosing_spans(docs, text=text, **limits)
     plain = keyed.where(F.col("_hash").isNull()).select("_doc", "_spans", F.array().cast(_SPAN).alias("_terms"))
     dirty = keyed.where(F.col("_hash").isNotNull())
-    matched = dirty.join(added, (dirty["_hash"] == added["_key"]) & dirty["_doc"].eqNullSafe(added["_other"]), "left").select("_doc", "_spans", F.coalesce("_terms", F.array().cast(_SPAN)).cast(_SPAN).alias("_terms"))
+    matched = dirty.join(added, "_hash", "left").select("_doc", "_spans", F.col("_terms").cast(_SPAN).alias("_terms"))
     rows = plain.unionAll(matched)
-    every = F.array_sort(F.concat("_spans", "_terms"), lambda a, b: (a["start"] - b["start"]) * 8 + (a["rank"] - b["rank"]))
+    every = _every(F.col("_spans"), F.col("_terms"))
     count = lambda kind: F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return rows.select(F.col("_doc").alias(doc_id), *map(count, KINDS), F.sha2(joined_spans(F.col("_spans")), 256).alias("base_sha256"), joined_spans(every).alias("spans"))
 
@@ -179,7 +180,7 @@ def _rewritten(text: Column, spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
 
 
-def sanitised(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
+def sanitised(docs: DataFrame, *, text: str = "text", **limits) -> DataFrame:
     """The rows with all their columns; base and added spans of the text are replaced by placeholders.
 
     Rows without base spans pass unchanged and unshuffled, null texts among them.
@@ -189,10 +190,9 @@ def sanitised(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **
     based = with_base_spans(docs.withColumn(body, F.coalesce(F.col(text).cast("string"), F.lit(""))), body, found)
     clean = based.where(F.size(found) == 0).select(*names)
     dirty = based.where(F.size(found) > 0)
-    added = disclosing_spans(docs, doc_id=doc_id, text=text, **limits)
-    on = (F.md5(dirty[body]) == added["_hash"]) & dirty[doc_id].eqNullSafe(added["_doc"])
-    joined = dirty.join(added, on, "left")
-    every = F.array_sort(F.concat(dirty[found], F.coalesce(added["_terms"], F.array().cast(_SPAN)).cast(_SPAN)), lambda a, b: (a["start"] - b["start"]) * 8 + (a["rank"] - b["rank"]))
+    added = disclosing_spans(docs, text=text, **limits)
+    joined = dirty.join(added, F.md5(dirty[body]) == added["_hash"], "left")
+    every = _every(dirty[found], added["_terms"])
     changed = joined.select(*(_rewritten(dirty[body], every).alias(text) if n == text else dirty[n] for n in names))
     return clean.unionAll(changed)
 

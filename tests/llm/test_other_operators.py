@@ -279,6 +279,17 @@ def test_terms_of_an_entity_in_one_document_are_found(spark):
     assert {r.doc_id: r.text for r in pii.sanitised(docs).collect()}[100] == "common words, [TERM] at [EMAIL], about nothing"
 
 
+def test_terms_far_from_their_entity_are_marked_throughout_its_documents(spark):
+    filler = "common words about nothing " * 8
+    rows = [(i, filler) for i in range(60)]
+    docs = edge_docs(spark, [*rows, (100, f"Quixbury! {filler}q@r.st {filler}quixbury."), (101, f"{filler}q@r.st {filler} \U0001f600 QUIXBURY")])
+    spans = {r.doc_id: r.spans for r in pii.find_spans(docs).collect()}
+    n = len(filler)
+    assert spans[100] == f"term:0:8,email:{10 + n}:{16 + n},term:{17 + 2 * n}:{25 + 2 * n}"
+    assert spans[101] == f"email:{n}:{n + 6},term:{2 * n + 10}:{2 * n + 18}" and not any(spans[i] for i, _ in rows)
+    assert "quixbury" not in " ".join(r.text for r in pii.sanitised(docs).collect()).lower()
+
+
 # --- pipeline ----------------------------------------------------------------------------------------------------
 
 

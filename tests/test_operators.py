@@ -12,6 +12,7 @@ from millrace.operators import relational as R
 from millrace.operators.filters import apply_filters, ids_of
 from millrace.operators.phash import nearest_groups, similar
 from millrace.operators.review import transition
+from millrace.plans import registry
 from millrace.sources import files
 from millrace.streaming import monitors as M
 
@@ -179,6 +180,13 @@ def test_retries_are_dropped_once(spark, tmp_path):
     assert sorted(r.k for r in got) == ["a", "b"]
 
 
+def test_near_duplicates_of_every_embedding_are_paired(spark, tmp_path):
+    vectors = {3: [1.0, 0.0], 7: [0.9, 0.1], 10: [0.0, 1.0], 12: [0.1, 0.9], 100: [1.0, 0.05], 101: [-1.0, 0.0]}
+    spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = registry.queries()["j12_near_duplicate_pairs"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [(3, 7), (3, 100), (7, 100), (10, 12)]
+
+
 def test_tree_deltas(spark):
     changes = spark.createDataFrame([("a/b/x", "create", 5), ("a/b/y", "create", 2), ("a/b/x", "delete", 5), ("a/z", "create", 1)], "p string, kind string, n int")
     got = M.tree_deltas(changes, "p", F.col("kind"), F.col("n"))

@@ -8,6 +8,9 @@ item's shingles holds one sketch value at least. Candidate search is thereby
 lossless. A partition is skipped for documents too small to reach t of its
 smallest item. Each candidate is verified by counting shared shingles.
 
+An item of fewer words than a shingle has is one shingle of its whole sequence, which
+only documents of exactly these words have too: inside longer documents it isn't found.
+
 The sketches are sent to executors in blocks of bounded size (``block_bytes``);
 a benchmark of any size is searched block by block, and no text is shuffled.
 """

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import written
+from millrace.llm.shared import new_folder, remove, result
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,11 +30,22 @@ def components(links: DataFrame) -> DataFrame:
 
     Self links, repeated links and both directions of a link are allowed; no links give no rows.
     """
-    ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, before = written(ordered, "links"), None
-    while True:
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).first()
-        if now == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = now
-        edges = written(_small_star(_large_star(edges).distinct()).distinct(), "links")
+    spark = links.sparkSession
+
+    def make() -> DataFrame:
+        ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        edges, path, before = ordered, None, None
+        while True:
+            fresh = new_folder(spark, "links")
+            edges.write.parquet(fresh)
+            if path:
+                remove(spark, path)
+            path = fresh
+            edges = spark.read.schema("a long, b long").parquet(path)
+            now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).first()
+            if now == before:
+                return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            before = now
+            edges = _small_star(_large_star(edges).distinct()).distinct()
+
+    return result(spark, "components", make)

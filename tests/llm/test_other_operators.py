@@ -3,17 +3,20 @@
 import base64
 import glob
 import hashlib
+import math
 import os
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import bpe, media, pii, registry, sharding, toxicity, urlrules, warc
+from millrace.llm import bpe, jaccard, media, pii, registry, shared, sharding, suffixes, toxicity, urlrules, warc
 
 FOLDER = "/root/testdata/sf0.001"
 EXTRA = ("id", "chunk", "key", "range", "_id", "_text", "media", "shard", "_block", "Body")
@@ -260,7 +263,7 @@ def test_spans_match_brute_force(spark):
 
 
 def test_disclosing_terms_are_found_and_replaced(spark):
-    rows = [(i, f"common words about nothing number {chr(97 + i % 26)}") for i in range(60)]
+    rows = [(i, f"common words about nothing number {chr(97 + i % 26) * (1 + i // 26)}") for i in range(60)]
     rows += [(100, "please write Zanzibar at x@y.zz today"), (101, "the note: Zanzibar is x@y.zz too"), (102, "Zanzibar alone"), (103, "today is fine")]
     docs = edge_docs(spark, rows)
     spans = {r.doc_id: r.spans for r in pii.find_spans(docs).collect()}
@@ -272,7 +275,7 @@ def test_disclosing_terms_are_found_and_replaced(spark):
 
 
 def test_terms_of_an_entity_in_one_document_are_found(spark):
-    rows = [(i, f"common words about nothing number {chr(97 + i % 26)}") for i in range(60)]
+    rows = [(i, f"common words about nothing number {chr(97 + i % 26) * (1 + i // 26)}") for i in range(60)]
     docs = edge_docs(spark, [*rows, (100, "common words, Quixbury at q@r.st, about nothing")])
     spans = {r.doc_id: r.spans for r in pii.find_spans(docs).collect()}
     assert spans[100] == "term:14:22,email:26:32" and not any(spans[i] for i, _ in rows)
@@ -281,7 +284,7 @@ def test_terms_of_an_entity_in_one_document_are_found(spark):
 
 def test_terms_far_from_their_entity_are_marked_throughout_its_documents(spark):
     filler = "common words about nothing " * 8
-    rows = [(i, filler) for i in range(60)]
+    rows = [(i, filler + chr(97 + i % 26) * (1 + i // 26)) for i in range(60)]
     docs = edge_docs(spark, [*rows, (100, f"Quixbury! {filler}q@r.st {filler}quixbury."), (101, f"{filler}q@r.st {filler} \U0001f600 QUIXBURY")])
     spans = {r.doc_id: r.spans for r in pii.find_spans(docs).collect()}
     n = len(filler)
@@ -290,6 +293,82 @@ def test_terms_far_from_their_entity_are_marked_throughout_its_documents(spark):
     assert "quixbury" not in " ".join(r.text for r in pii.sanitised(docs).collect()).lower()
 
 
+def brute_disclosure(bodies, at_least=pii.MIN_DISCLOSURE):
+    """Spans string of each distinct text, by counting over all of them."""
+    texts = sorted({b or "" for b in bodies})
+    word = regex.compile(r"[\p{L}\p{N}]{3,}")
+    words = {t: [(m.start(), m.end(), m[0].lower()) for m in word.finditer(t)] for t in texts}
+    base = {t: [(int(a), int(b), k) for k, a, b in (s.split(":") for s in brute_spans(t))] for t in texts}
+    entities = {t: {(k, t[a:b].lower()) for a, b, k in base[t]} for t in texts}
+    with_entity, with_term, both = Counter(), Counter(), Counter()
+    for t in texts:
+        terms = {w for *_, w in words[t]}
+        with_entity.update(entities[t])
+        with_term.update(terms)
+        both.update((e, w) for e in entities[t] for w in terms)
+    total = len(texts)
+
+    def discloses(e, w):
+        content = math.log(total / with_entity[e])
+        return content > 0 and math.log(both[e, w] * total / ((with_term[w] + pii.SMOOTHING) * with_entity[e])) / content >= at_least
+
+    order = ["email", "ip", "card", "phone", "term"]
+    out = {}
+    for t in texts:
+        added = [(a, b, "term") for a, b, w in words[t] if any(discloses(e, w) for e in entities[t]) and all(y <= a or x >= b for x, y, _ in base[t])]
+        out[t] = ",".join(f"{k}:{a}:{b}" for a, b, k in sorted(base[t] + added, key=lambda s: (s[0], order.index(s[2]))))
+    return out
+
+
+def test_every_added_span_matches_brute_force(spark):
+    draw = random.Random(11)
+    names = ["Ann", "Bob", "Zed", "Ümit", "x1y2", "2024"]
+    entity = {n: f"{n.lower()}@mail{k}.org" for k, n in enumerate(names)}
+    pool = [f"w{chr(97 + i)}{chr(97 + i % 7)}" for i in range(26)] + ["10.0.0.1", "+12 345 678 90", "4111111111111111"]
+    rows = []
+    for i in range(150):
+        who = draw.choice(names)
+        words = [draw.choice(pool[:26] if draw.random() < 0.95 else pool) for _ in range(draw.randint(3, 30))]
+        if draw.random() < 0.4:
+            words += [who] * draw.randint(0, 2) + [entity[who]]
+            draw.shuffle(words)
+        rows.append((i, " ".join(words)))
+    # ties, a text of many spans, and terms inside base spans
+    rows += [(500, None), (501, ""), (502, " ".join(f"a{i}@b{i}.cc wort{i}" for i in range(400))), (503, "mail mail0 ann@mail0.org 10.0.0.1")]
+    expected = brute_disclosure([t for _, t in rows])
+    assert sum("term" in s for s in expected.values()) > 20
+    once = {r.doc_id: r.spans for r in pii.find_spans(edge_docs(spark, rows)).collect()}
+    assert once == {i: expected[t or ""] for i, t in rows}
+    # repeated rows, null ids among them, change nothing
+    again = edge_docs(spark, rows + rows + [(None, t) for _, t in rows[:40]] * 3)
+    assert {(r.doc_id, r.spans) for r in pii.find_spans(again).collect()} == set(once.items()) | {(None, expected[t or ""]) for _, t in rows[:40]}
+
+
+def test_sanitising_keeps_columns_and_generalises(spark):
+    rows = [(i, f"common words {chr(97 + i % 26) * (1 + i // 26)}") for i in range(60)] + [(70, "common a@b.cc Quix 47110815 kx9z7"), (71, None)]
+    clash = ("_m_email", "_g_ip", "_hash", "_spans", "_text", "value", "kind")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("own") for c in clash})
+    got = pii.sanitised(docs)
+    assert got.columns == docs.columns and got.schema == docs.schema
+    found = {r.doc_id: r for r in got.collect()}
+    assert len(found) == len(rows) and all(r[c] == "own" for r in found.values() for c in clash)
+    assert found[70].text == "common [EMAIL] [TERM] [NUMBER] [CODE]" and found[71].text is None
+    assert all(found[i].text == t for i, t in rows if i < 70)
+
+
+def test_intermediate_tables_are_removed(spark):
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    docs = edge_docs(spark, [(i, f"some words that are {i % 3} a@b{i % 5}.cc and a few more") for i in range(30)])
+    os.makedirs(base, exist_ok=True)
+    before = set(os.listdir(base))
+    with shared.scope(spark):
+        assert pii.find_spans(docs).count() == 30 and jaccard.similarity_components(docs).count() == 30
+        assert suffixes.remove_repeats(docs).count() == 30
+        left = set(os.listdir(base)) - before
+        assert len(left) <= 3, left
+    assert set(os.listdir(base)) == before
+
+
 # --- pipeline ----------------------------------------------------------------------------------------------------
 
 

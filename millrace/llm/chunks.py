@@ -1,6 +1,6 @@
-"""Documents dealt into chunks of consecutive ids and about equal size.
+"""Documents dealt into chunks of about equal size, by ranges of ids or by a hash.
 
-A chunk is small enough for one task's memory and is a function of the id alone,
+A chunk is small enough for one task's memory and is a function of the row alone,
 so it is the same whenever it is computed again. Operators that look at all of a
 corpus exchange packed arrays between chunks and hash buckets, a row for each pair
 of both, instead of a row for each hash.
@@ -19,39 +19,66 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 4 << 20
 #: Bytes of hashes that one bucket receives, about.
 BUCKET_BYTES = 32 << 20
-_LAST = (1 << 63) - 1
+#: Ranges of ids whose bounds the driver asks for, at most; a range is cut into even steps of the id.
+RANGES = 10_000
 
 
 @dataclass
 class Chunked:
-    #: id long (null as the largest), text string (null as empty), chunk int
+    #: id long (null ids come after all others), text string (null as empty), chunk int
     rows: DataFrame
     chunks: int
     buckets: int
 
 
-def chunked(docs: DataFrame, doc_id: str, text: str, hash_bytes_per_byte: float, chunk_bytes: int = CHUNK_BYTES) -> Chunked:
-    """Deal rows by ranges of an integer id; ``hash_bytes_per_byte`` of the text go to the buckets."""
+def chunked(docs: DataFrame, doc_id: str, text: str, hash_bytes_per_byte: float, chunk_bytes: int = CHUNK_BYTES, ordered: bool = True) -> Chunked:
+    """Deal rows by ranges of an integer id, or else by a hash of id and text.
+
+    ``hash_bytes_per_byte`` of the text go to the buckets. A hash deals repeated ids and
+    copies evenly; ranges are for operators that need a chunk's ids to follow the last one's.
+    """
     spark = docs.sparkSession
     if not docs.schema[doc_id].dataType.typeName() in ("byte", "short", "integer", "long"):
         raise TypeError(f"{doc_id} must be an integer column")
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    known = rows.agg(F.sum(F.octet_length("text")).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+    size = known["n"] or 0
     chunks = max(1, partitions if size >= partitions << 16 else 1, -(-size // chunk_bytes))
     buckets = max(2 * partitions, int(size * hash_bytes_per_byte) // BUCKET_BYTES)
-    if chunks == 1:
+    if chunks == 1 or known["lo"] is None:
         return Chunked(rows.withColumn("chunk", F.lit(0)), 1, buckets)
-    shares = [i / chunks for i in range(1, chunks)]
-    # the driver keeps one bound for each chunk
-    bounds = rows.agg(F.percentile_approx("id", shares, max(10_000, 20 * chunks)).alias("b")).first()["b"]
-    shared = spark.sparkContext.broadcast(np.array(bounds, dtype=np.int64))
+    if not ordered:
+        return Chunked(rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int")), chunks, buckets)
+    ranges = min(chunks, RANGES)
+    steps = -(-chunks // ranges)
+    # the driver keeps one bound for each range
+    bounds = rows.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], max(10_000, 20 * ranges)).alias("b")).first()["b"] if ranges > 1 else []
+    shared = spark.sparkContext.broadcast(np.array([known["lo"], *bounds, known["hi"]], dtype=np.int64))
 
     @F.pandas_udf("int")
     def place(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(shared.value, ids.to_numpy(), side="left").astype(np.int32))
+        return pd.Series(place_of(ids.to_numpy(), shared.value, steps))
+
+    last = F.lit(ranges * steps - 1)
+    return Chunked(rows.withColumn("chunk", F.when(F.col("id").isNull(), last).otherwise(place(F.coalesce("id", F.lit(known["hi"]))))), ranges * steps, buckets)
+
+
+def place_of(ids: np.ndarray, bounds: np.ndarray, steps: int) -> np.ndarray:
+    """Chunk of each id: its range among ``bounds``, and its even step inside that; never falls as ids grow."""
+    found = np.searchsorted(bounds[1:-1], ids, side="left")
+    lo, hi = bounds[found].astype(np.float64), bounds[found + 1].astype(np.float64)
+    share = (ids.astype(np.float64) - lo) / np.maximum(hi - lo, 1.0)
+    return (found * steps + np.clip((share * steps).astype(np.int64), 0, steps - 1)).astype(np.int32)
+
 
-    return Chunked(rows.withColumn("chunk", place(F.col("id"))), chunks, buckets)
+def rank_of(table: pa.Table) -> np.ndarray:
+    """Rank of each row's id in a table ``in_order``; equal ids have equal ranks, and null ids the last."""
+    ids = table.column("id")
+    if not len(ids):
+        return np.zeros(0, np.int64)
+    none, known = np.asarray(ids.is_null()), ids.fill_null(0).to_numpy()
+    return np.cumsum(np.concatenate(([0], (known[1:] != known[:-1]) | (none[1:] != none[:-1]))))
 
 
 def in_order(table: pa.Table) -> pa.Table:

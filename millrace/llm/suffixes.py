@@ -1,10 +1,11 @@
 """Repeated passages: bytes of every string of 50 bytes that an earlier document has.
 
 The index is a logarithmic family of suffix arrays (suffixes count up to 50 bytes).
-Documents come in batches in order of id. A new batch gets its own suffix array; it
-is merge-scanned against the arrays of all levels for suffixes that agree in 50
-bytes; its new suffixes become the lowest level, and levels of equal size are merged,
-so that each suffix takes part in a logarithmic number of merges.
+Documents come in batches in order of id. A new batch gets its own suffix array, the
+places of its suffixes in order; it is merge-scanned against the arrays of all levels
+for suffixes that agree in 50 bytes; its new suffixes become the lowest level, and
+levels of equal size are merged, so that each suffix takes part in a logarithmic
+number of merges.
 
 To spread this over tasks, suffixes are dealt by content. Among the 16-byte grams of
 a 50-byte string, the one with the smallest hash (the leftmost of equals) is its
@@ -15,8 +16,12 @@ them. All stretches with one anchor hash meet in one bucket.
 1. Each chunk of documents sends its distinct stretches as pairs of hashes. A
    bucket learns which stretches an earlier chunk has too - all their strings are
    repeats - and which are first but share their anchor with different stretches.
+   Equality here is that of 88 or more bits of two hashes, not of bytes.
 2. Chunks send the bytes of the latter only, at their first document. Each bucket
-   runs the index of suffix arrays over them.
+   runs the index of suffix arrays over them. An anchor of more than HOT different
+   stretches is no place to meet: chunks send its strings one by one, each to one of
+   several places by its own hash, and of equal ones (told by that hash) those of the
+   first document only, so that no task holds what surrounds a common passage.
 3. Chunks gather the repeated strings and remove what they cover.
 
 The three steps read the same exchange of documents. A very common passage is one
@@ -33,7 +38,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.chunks import bucket_of, chunked, in_order, runs, unpack
+from millrace.llm.chunks import bucket_of, chunked, in_order, rank_of, runs, unpack
 from millrace.llm.text import _BASE, BLOCK, _power_tables, as_bytes, mix
 
 SPAN = 50
@@ -44,6 +49,8 @@ BATCH = 1 << 16
 FINER = 4
 #: Suffixes of which an index in memory is made at once, about.
 SHARE = 400_000
+#: Different stretches from which on an anchor's strings are dealt by their own hashes.
+HOT = 2048
 _U = np.uint64
 _LOW = _U((1 << 24) - 1)
 #: Codes for hashing exact bytes; those of ``text`` fold case.
@@ -51,44 +58,51 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
 
 class SuffixLevels:
-    """Suffix arrays of distinct suffixes of ``span`` bytes, each with its first document."""
+    """Suffix arrays over one text, of distinct suffixes of ``span`` bytes, each with its first document."""
 
-    def __init__(self, span: int = SPAN) -> None:
+    def __init__(self, data: np.ndarray, span: int = SPAN) -> None:
         self.kind = f"S{span}"
-        #: (sorted suffixes, first document of each), largest level first
+        self.views = sliding_window_view(data, span)
+        #: (places of suffixes in order of their bytes, first document of each), largest level first
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(self, suffixes: np.ndarray, documents: np.ndarray) -> np.ndarray:
-        """Whether each suffix occurs in an earlier document; documents must not precede those of earlier calls."""
+    def bytes_at(self, places: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(self.views[places]).view(self.kind).ravel()
+
+    def add(self, places: np.ndarray, documents: np.ndarray) -> np.ndarray:
+        """Whether the suffix at each place occurs in an earlier document; documents must not precede those of earlier calls."""
+        suffixes = self.bytes_at(places)
         order = np.argsort(suffixes, kind="stable")
         array = suffixes[order]
         start, end = runs(array)
         owners = documents[order]
         first = np.minimum.reduceat(owners, start) if len(start) else owners
-        array = array[start]
+        array, heads = array[start], places[order][start]
         earliest = first.copy()
-        for keys, known in self.levels:
+        for known, owner in self.levels:
+            keys = self.bytes_at(known)
             place = np.searchsorted(keys, array)
             place[place == len(keys)] = 0
             same = keys[place] == array
-            earliest[same] = np.minimum(earliest[same], known[place[same]])
-        seen = np.empty(len(suffixes), dtype=bool)
+            earliest[same] = np.minimum(earliest[same], owner[place[same]])
+        seen = np.empty(len(places), dtype=bool)
         seen[order] = owners > np.repeat(earliest, end - start)
         fresh = earliest == first
-        self._push(array[fresh], first[fresh])
+        self._push(heads[fresh], first[fresh])
         return seen
 
-    def _push(self, keys: np.ndarray, documents: np.ndarray) -> None:
-        while self.levels and len(self.levels[-1][0]) < 2 * len(keys):
+    def _push(self, places: np.ndarray, documents: np.ndarray) -> None:
+        while self.levels and len(self.levels[-1][0]) < 2 * len(places):
             other, known = self.levels.pop()
-            keys, documents = np.concatenate((other, keys)), np.concatenate((known, documents))
+            places, documents = np.concatenate((other, places)), np.concatenate((known, documents))
+            keys = self.bytes_at(places)
             order = np.argsort(keys, kind="stable")  # merges the two sorted runs
-            keys, documents = keys[order], documents[order]
+            keys, places, documents = keys[order], places[order], documents[order]
             start, _ = runs(keys)
             if len(start) < len(keys):
-                keys, documents = keys[start], np.minimum.reduceat(documents, start)
-        if len(keys):
-            self.levels.append((keys, documents))
+                places, documents = places[start], np.minimum.reduceat(documents, start)
+        if len(places):
+            self.levels.append((places, documents))
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -129,7 +143,8 @@ def _stretches_of(data: np.ndarray, offsets: np.ndarray, span: int) -> list[np.n
     content = (sums[start + length + span - 1] - sums[start]) * inverse[start]
     content = mix(content + ((anchor - start) * 64 + length).astype(np.uint64))
     row = np.searchsorted(offsets, start, side="right") - 1
-    return [row, start - offsets[row], length, grams[anchor], content]
+    # anchors are minima, so their hashes are mixed anew to fill all buckets
+    return [row, start - offsets[row], length, mix(grams[anchor]), content]
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, span: int = SPAN) -> list[np.ndarray]:
@@ -174,14 +189,15 @@ def _share_of(data: np.ndarray, span: int, shares: int) -> np.ndarray:
         hashed *= np.uint32(0x9E3779B1)
         hashed += data[j : j + n]
     hashed ^= hashed >> np.uint32(15)
-    return (hashed % np.uint32(shares)).astype(np.uint8)
+    return hashed % np.uint32(shares)
 
 
-REPEATED, CONTESTED = 1, 2
+#: From SCATTERED on, the code less CONTESTED is the logarithm of an anchor's number of places.
+REPEATED, CONTESTED, SCATTERED = 1, 2, 3
 
 
 def _judge(chunk: np.ndarray, anchors: np.ndarray, contents: np.ndarray) -> np.ndarray:
-    """What each of a bucket's stretches is: repeated from an earlier chunk, or first but contested."""
+    """What each of a bucket's stretches is: repeated from an earlier chunk, or first but contested, by so many that it's scattered."""
     order = np.lexsort((chunk, contents, anchors))
     a, c, k = anchors[order], contents[order], chunk[order]
     new_anchor = np.concatenate(([True], a[1:] != a[:-1]))
@@ -189,15 +205,28 @@ def _judge(chunk: np.ndarray, anchors: np.ndarray, contents: np.ndarray) -> np.n
     of_class = np.cumsum(new_class) - 1
     of_anchor = np.cumsum(new_anchor) - 1
     repeated = k != k[new_class][of_class]
-    contested = np.bincount(of_anchor[new_class])[of_anchor] > 1
+    classes = np.bincount(of_anchor[new_class])[of_anchor]
     codes = np.empty(len(order), dtype=np.uint8)
-    codes[order] = np.where(repeated, REPEATED, np.where(contested, CONTESTED, 0))
+    places = np.ceil(np.log2(np.maximum(classes / HOT, 1))).astype(np.int64)
+    codes[order] = np.where(repeated, REPEATED, np.where(classes > 1, CONTESTED + places, 0))
     return codes
 
 
-def _dense_rank(ids: np.ndarray) -> np.ndarray:
-    """Rank of each id of a sorted column; equal ids have equal ranks."""
-    return np.cumsum(np.concatenate(([0], ids[1:] != ids[:-1]))) if len(ids) else np.zeros(0, np.int64)
+def _string_hashes(data: np.ndarray, begin: np.ndarray, span: int) -> np.ndarray:
+    """Hash of the ``span`` bytes from each place on."""
+    out = np.zeros(len(begin), dtype=np.uint64)
+    for j in range(span):
+        out = out * _BASE + _BYTE[data[begin + j]]
+    return mix(out)
+
+
+def _later_rows(hashes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Whether an earlier row than its own has an entry's hash."""
+    order = np.lexsort((ranks, hashes))
+    first, last = runs(hashes[order])
+    out = np.empty(len(hashes), dtype=bool)
+    out[order] = ranks[order] > np.repeat(ranks[order][first], last - first)
+    return out
 
 
 def _covered(offsets: np.ndarray, runs_: np.ndarray, span: int) -> np.ndarray:
@@ -215,8 +244,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     A byte is removed when a string of ``span`` bytes covers it that also starts in a
     document with a smaller id, judged on the input. spans lists the maximal removed
     runs as (start, end). Ids must be integers; a null id counts as larger than all
-    others and is returned as null. Rows with equal ids don't remove each other. Null
-    and empty texts, and texts shorter than ``span``, lose nothing.
+    others. Rows with equal ids, or without one, don't remove each other. Null and
+    empty texts, and texts shorter than ``span``, lose nothing. Other columns are ignored.
     """
     corpus = chunked(docs, doc_id, text, 0.8)
     buckets = corpus.buckets
@@ -260,7 +289,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             return contested_schema.empty_table()
         table = in_order(table)
         chunk = table.column("chunk")[0].as_py()
-        rank = _dense_rank(table.column("id").to_numpy())
+        rank = rank_of(table)
         data, offsets = as_bytes(table.column("text"))
         row, start, length, anchors, contents = stretches(data, offsets, span)
         order, first = _distinct(anchors, contents)
@@ -276,21 +305,36 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         earliest[order] = np.repeat(np.minimum.reduceat(rank[row[order]], first), size) if len(first) else 0
         repeated = (code == REPEATED) | (rank[row] > earliest)
         repeats = np.column_stack([row, start, length])[repeated].astype(np.int64)
-        sends = order[(code == CONTESTED)[order] & ~repeated[order]]
-        target = bucket_of(anchors[sends], FINER * buckets)
+        first_here = order[~repeated[order]]
+        whole = first_here[code[first_here] == CONTESTED]
+        loose = first_here[code[first_here] >= SCATTERED]
+        # (row, start, number of strings) of what is sent; strings of a hot anchor one by one
+        inner = np.arange(length[loose].sum()) - np.repeat(np.cumsum(length[loose]) - length[loose], length[loose])
+        loose = np.repeat(loose, length[loose])
+        hashes = _string_hashes(data, offsets[row[loose]] + start[loose] + inner, span)
+        later = _later_rows(hashes, rank[row[loose]])
+        repeats = np.concatenate((repeats, np.column_stack([row[loose], start[loose] + inner, np.ones(len(loose), dtype=np.int64)])[later]))
+        loose, inner, hashes = loose[~later], inner[~later], hashes[~later]
+        sent_row, sent_start = np.concatenate((row[whole], row[loose])), np.concatenate((start[whole], start[loose] + inner))
+        sent_length = np.concatenate((length[whole], np.ones(len(loose), dtype=np.int64)))
+        place = hashes & ((_U(1) << (code[loose] - CONTESTED).astype(np.uint64)) - _U(1))
+        meets = np.concatenate((anchors[whole], mix(anchors[loose] + (place + _U(1)) * _BASE)))
+        target = bucket_of(meets, FINER * buckets)
+        by_bucket = np.argsort(target, kind="stable")
+        target, sent_row, sent_start, sent_length = target[by_bucket], sent_row[by_bucket], sent_start[by_bucket], sent_length[by_bucket]
         lo, hi = runs(target)
-        sizes = length[sends] + span - 1
-        begin = offsets[row[sends]] + start[sends]
+        sizes = sent_length + span - 1
+        begin = offsets[sent_row] + sent_start
         ends = np.cumsum(sizes)
         picked = data[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - (ends - sizes), sizes)]
         bounds = np.concatenate(([0], ends))
-        places = np.column_stack([rank[row[sends]], row[sends], start[sends]]).astype(np.int64)
+        places = np.column_stack([rank[sent_row], sent_row, sent_start]).astype(np.int32)
         spans = list(zip(lo.tolist(), hi.tolist(), strict=True))
         out = {
             "bucket": [*target[lo].tolist(), chunk % (FINER * buckets)],
             "chunk": [chunk] * (len(spans) + 1),
             "places": [*(places[a:b].tobytes() for a, b in spans), b""],
-            "lengths": [*(length[sends[a:b]].astype(np.int32).tobytes() for a, b in spans), b""],
+            "lengths": [*(sent_length[a:b].astype(np.int16).tobytes() for a, b in spans), b""],
             "bytes": [*(picked[bounds[a] : bounds[b]].tobytes() for a, b in spans), b""],
             "repeats": [*(b"" for _ in spans), repeats.tobytes()],
         }
@@ -301,9 +345,9 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     def index(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
         chunks = table.column("chunk").to_numpy()
-        places, counts = unpack(table.column("places"), np.int64)
-        places = places.reshape(-1, 3)
-        length, _ = unpack(table.column("lengths"), np.int32)
+        places, counts = unpack(table.column("places"), np.int32)
+        places = places.reshape(-1, 3).astype(np.int64)
+        length, _ = unpack(table.column("lengths"), np.int16)
         data, _ = unpack(table.column("bytes"), np.uint8)
         chunk = np.repeat(chunks, counts // 3).astype(np.int64)
         document = (chunk << 32) + places[:, 0]
@@ -314,12 +358,11 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         if not len(order):
             return pa.table({"chunk": pa.array([f[0] for f in found], pa.int32()), "repeats": pa.array([f[1] for f in found], pa.binary())})
         total = np.cumsum(length[order])
-        views = sliding_window_view(data, span)
         # a large bucket is gone through several times, each with an index of one part of the suffixes
-        shares = min(250, 1 + int(total[-1]) // SHARE)
+        shares = 1 + int(total[-1]) // SHARE
         share = _share_of(data, span, shares)
         for k in range(shares):
-            levels, at = SuffixLevels(span), 0
+            levels, at = SuffixLevels(data, span), 0
             while at < len(order):
                 to = int(np.searchsorted(total, (total[at - 1] if at else 0) + min(shares, 8) * BATCH, side="left")) + 1
                 batch = order[at:to]
@@ -328,8 +371,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                 owner = np.repeat(np.arange(len(batch)), n)
                 mine = np.flatnonzero(share[begin[batch][owner] + inner] == k) if shares > 1 else slice(None)
                 inner, owner = inner[mine], owner[mine]
-                suffixes = np.ascontiguousarray(views[begin[batch][owner] + inner]).view(levels.kind).ravel()
-                seen = levels.add(suffixes, document[batch][owner])
+                seen = levels.add(begin[batch][owner] + inner, document[batch][owner])
                 owner, inner = owner[seen], inner[seen]
                 if len(owner):
                     new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (inner[1:] != inner[:-1] + 1)))
@@ -371,5 +413,4 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
     kept = rows.groupBy("chunk").cogroup(repeats.groupBy("chunk")).applyInArrow(remove, ddl)
     kind = docs.schema[doc_id].dataType
-    own = F.when(F.col("id") != (1 << 63) - 1, F.col("id")).cast(kind)
-    return kept.select(own.alias(doc_id), *(c for c in schema.names if c != "id"))
+    return kept.select(F.col("id").cast(kind).alias(doc_id), *(c for c in schema.names if c != "id"))

@@ -5,44 +5,50 @@ n - ceil(t * n) + 1 shingles of two linked sets have one in common. Candidates m
 have that under several orders, each by another hash of the shingle. Filters, each of
 which loses no link:
 
-1. Equal sets are one class, whose representative is the smallest id.
+1. Equal sets are one class; the class is a node, of which one row stands for all.
 2. By the first order, a longer prefix: with k more shingles, linked sets have at
    least k in common in it. A set stays when so many of its prefix are in prefixes
    of other sets too.
 3. By all shingles: at least the share t of a set must be in other remaining sets.
 4. Quick links: under each of several orders, sets with the same first shingle are
    compared with the smallest id among them. Verified links make components.
-5. Prefix groups under three orders, each of which has rare shingles first and those
-   of one rarity by another hash. A group inside one component needs no more work; a
-   set that is in a mixed group under all three orders stays. Sets that mixed groups
-   connect are a family. In blocks of a family, pairs of different components whose
-   sizes and parity bitmaps allow a link are verified by their exact index.
+5. Stars: of the sets that share a prefix shingle, each meets one drawn by a hash, if that
+   is in another component; a set's few nearest by their bitmaps are verified. Twice.
+6. Prefix entries under three orders, each of which has rare shingles first and those
+   of one rarity by another hash. A shingle whose sets are all in one component needs no
+   more work, and a set without others under some order neither. Sets of different
+   components that share a prefix shingle of the first order, and whose sizes and parity
+   bitmaps allow a link, are a pair; a shingle of many sets is dealt in blocks. Pairs that
+   also share prefix shingles under the other orders are verified by their exact index.
 
 No step makes the pairs of a group of copies: copies are one class, and near copies
-are one component after step 4, in which only one link for each set and order is
-looked at. Sets are 64-bit shingle hashes throughout.
+are one component after steps 4 and 5, in which a set has a bounded number of links. Sets are 64-bit shingle hashes throughout.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.chunks import BUCKET_BYTES, CHUNK_BYTES, chunked, counts_of, in_order, key_counts
 from millrace.llm.components import components
-from millrace.llm.shared import written
+from millrace.llm.shared import result, written
 from millrace.llm.text import SHINGLE, THRESHOLD_PERCENT, as_bytes, mix, prefix_size, shingles
 
 QUICK_ORDERS = 6
 PREFIX_ORDERS = 3
-BITMAP_BITS = 2048
-#: Sets in one block of a family, about.
+STAR_ROUNDS, STARS, NEAREST = 2, 64, 4
+BITMAP_BITS = 512
+#: Sets in one block of a shingle that many sets share, about.
 BLOCK_SETS = 512
+#: Pairs whose bitmaps are compared at once.
+_PAIRS = 1 << 16
 _U = np.uint64
-_LAST = (1 << 63) - 1
 
 
 def under_order(tokens: np.ndarray, order: int) -> np.ndarray:
@@ -82,7 +88,10 @@ def _first_of_class(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
 
 
 def _text_sets(rows: DataFrame, buckets: int, shingle: int, percent: int) -> DataFrame:
-    """(id, n, h1, h2, tokens) of each document; tokens are null beyond filter 2 and for repeats in a chunk."""
+    """(row, id, digest, n, h1, h2, tokens) of each document; tokens are null beyond filter 2 and for repeats in a chunk.
+
+    row is a number of its own for each row, and digest the MD5 of the text.
+    """
 
     def parse(table: pa.Table):
         table = in_order(table)
@@ -99,7 +108,7 @@ def _text_sets(rows: DataFrame, buckets: int, shingle: int, percent: int) -> Dat
         return row, tokens[at[:-1][row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)]
 
     counts = key_counts(rows, keys_of, buckets)
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("tokens", pa.binary())])
+    schema = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("tokens", pa.binary())])
 
     def keep(table: pa.Table, said: pa.Table) -> pa.Table:
         if not table.num_rows:
@@ -113,9 +122,11 @@ def _text_sets(rows: DataFrame, buckets: int, shingle: int, percent: int) -> Dat
         stays = first & (n > 0) & (others >= needed)
         bounds = at.tolist()
         packed = [tokens[bounds[i] : bounds[i + 1]].tobytes() if s else None for i, s in enumerate(stays.tolist())]
-        return pa.table({"id": table.column("id"), "n": n, "h1": h1, "h2": h2, "tokens": pa.array(packed, pa.binary())}, schema=schema)
+        number = (table.column("chunk")[0].as_py() << 32) + np.arange(table.num_rows)
+        digest = pa.array([hashlib.md5((t or "").encode()).digest() for t in table.column("text").to_pylist()], pa.binary())
+        return pa.table({"row": number, "id": table.column("id"), "digest": digest, "n": n, "h1": h1, "h2": h2, "tokens": pa.array(packed, pa.binary())}, schema=schema)
 
-    return rows.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(keep, "id long, n long, h1 long, h2 long, tokens binary")
+    return rows.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(keep, "row long, id long, digest binary, n long, h1 long, h2 long, tokens binary")
 
 
 def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -157,24 +168,44 @@ def parity(tokens: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    if len(x) > len(y):
+        x, y = y, x
+    place = np.searchsorted(y, x)
+    place[place == len(y)] = 0
+    return int((y[place] == x).sum()) if len(x) else 0
+
+
+def _prefix(tokens: np.ndarray, rarity: np.ndarray, order: int, percent: int) -> np.ndarray:
+    """The first shingles of a set in one of the orders that have rare ones first."""
+    return tokens[np.lexsort((under_order(tokens, order), rarity))[: int(prefix_size(len(tokens), percent))]]
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, orders: range = range(0)) -> DataFrame:
+    """The pairs (a, b) whose sets have 100 * intersection >= percent * union.
+
+    The index of those without a common prefix shingle in one of ``orders`` isn't computed.
+    """
 
     @F.pandas_udf("long")
-    def common(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = np.empty(len(left), dtype=np.int64)
-        for i, (x, y) in enumerate(zip(left, right, strict=True)):
+    def common(a: pd.Series, left: pd.Series, left_rarity: pd.Series, b: pd.Series, right: pd.Series, right_rarity: pd.Series) -> pd.Series:
+        out = np.zeros(len(left), dtype=np.int64)
+        known: dict[tuple[int, int], np.ndarray] = {}
+
+        def prefix(i: int, tokens: np.ndarray, rarity: bytes, order: int) -> np.ndarray:
+            if (i, order) not in known:
+                known[i, order] = np.sort(_prefix(tokens, np.frombuffer(rarity, dtype=np.uint16), order, percent))
+            return known[i, order]
+
+        for row, (i, x, p, j, y, q) in enumerate(zip(a, left, left_rarity, b, right, right_rarity, strict=True)):
             x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            place = np.searchsorted(y, x)
-            place[place == len(y)] = 0
-            out[i] = (y[place] == x).sum()
+            if all(_common(prefix(i, x, p, k), prefix(j, y, q, k)) for k in orders):
+                out[row] = _common(x, y)
         return pd.Series(out)
 
-    left = sets.select(F.col("id").alias("a"), F.col("n").alias("_na"), F.col("tokens").alias("_ta"))
-    right = sets.select(F.col("id").alias("b"), F.col("n").alias("_nb"), F.col("tokens").alias("_tb"))
-    counted = pairs.join(left, "a").join(right, "b").select("a", "b", (F.col("_na") + F.col("_nb")).alias("_sum"), common("_ta", "_tb").alias("_c"))
+    left = sets.select(F.col("id").alias("a"), F.col("n").alias("_na"), F.col("tokens").alias("_ta"), F.col("rarity").alias("_ra"))
+    right = sets.select(F.col("id").alias("b"), F.col("n").alias("_nb"), F.col("tokens").alias("_tb"), F.col("rarity").alias("_rb"))
+    counted = pairs.join(left, "a").join(right, "b").select("a", "b", (F.col("_na") + F.col("_nb")).alias("_sum"), common("a", "_ta", "_ra", "b", "_tb", "_rb").alias("_c"))
     return counted.where(F.lit(100) * F.col("_c") >= F.lit(percent) * (F.col("_sum") - F.col("_c"))).select("a", "b")
 
 
@@ -206,112 +237,213 @@ def _quick_pairs(sets: DataFrame) -> DataFrame:
     return rows.join(least, ["kind", "token"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
 
 
-def _families(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, family) of sets that may have a link to another component; such links stay inside a family.
+def close_pairs(group: np.ndarray, part: np.ndarray, mixed: np.ndarray, ids: np.ndarray, n: np.ndarray, component: np.ndarray, maps: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs (i, j) of rows of one group, of different components, that sizes and parity bitmaps don't rule out.
 
-    ``sets`` has component. Under each order, only prefix shingles of several components
-    matter; a set stays if it has such a one under all orders. Sets that share one under
-    the first order are one family. All joins here give a row for each entry at most.
+    ``group`` is sorted. Where ``mixed``, only pairs of different parts are looked at.
     """
+    found = [np.zeros((2, 0), dtype=np.int64)]
+    for d in range(1, len(group)):
+        left = np.flatnonzero(group[d:] == group[:-d])
+        if not len(left):
+            break
+        left = left[(component[left] != component[left + d]) & ~(mixed[left] & (part[left] == part[left + d]))]
+        for at in range(0, len(left), _PAIRS):
+            x = left[at : at + _PAIRS]
+            y = x + d
+            apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int64)
+            apart = np.maximum(apart, np.abs(n[x] - n[y]))
+            total = n[x] + n[y]
+            # intersection <= (total - apart) / 2 and union >= (total + apart) / 2
+            may = 100 * (total - apart) >= percent * (total + apart)
+            x, y = x[may], y[may]
+            found.append(np.where(ids[x] < ids[y], np.stack([x, y]), np.stack([y, x])))
+    return np.concatenate(found, axis=1)
+
+
+def _open_entries(sets: DataFrame, percent: int) -> DataFrame:
+    """(kind, token, id) of the prefix shingles that several components share, under each order."""
 
     def pick(tokens: np.ndarray, rarity: np.ndarray):
         size = int(prefix_size(len(tokens), percent))
-        parts = [tokens[np.lexsort((under_order(tokens, k), rarity))[:size]] for k in range(PREFIX_ORDERS)]
+        parts = [_prefix(tokens, rarity, k, percent) for k in range(PREFIX_ORDERS)]
         return np.repeat(np.arange(PREFIX_ORDERS), size), np.concatenate(parts)
 
     rows = _entries(sets, pick, ("component",))
     mixed = rows.groupBy("kind", "token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("kind", "token")
-    open_rows = written(rows.join(mixed, ["kind", "token"]).select("kind", "token", "id"), "open")
-    # one bit for each order
-    met = open_rows.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, kind)")).alias("orders")).where(F.col("orders") == (1 << PREFIX_ORDERS) - 1)
-    lead = open_rows.where("kind = 0").join(met.select("id"), "id", "left_semi")
-    least = lead.groupBy("token").agg(F.min("id").alias("a"))
-    links = lead.join(least, "token").select("a", F.col("id").alias("b"))
-    return components(links).select(F.col("node").alias("id"), F.col("component").alias("family"))
-
+    return rows.join(mixed, ["kind", "token"]).select("kind", "token", "id")
 
-def _open_pairs(sets: DataFrame, families: DataFrame, partitions: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of a family, of different components, that sizes and parity bitmaps don't rule out.
 
-    A family is dealt into blocks of about BLOCK_SETS, and each pair of blocks is one
-    group with its bitmaps, so the pairs that fail are never rows. Families of one block
-    share groups.
-    """
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """(id, n, bitmap) of each set."""
 
     def mapped(batches):
         for batch in batches:
             tokens, at = _unpacked(pa.Table.from_batches([batch.select(["tokens"])]))
             maps = [parity(tokens[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "n", "component", "family", "blocks")), pa.array(maps, pa.binary())], names=["id", "n", "component", "family", "blocks", "bitmap"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), pa.array(maps, pa.binary())], names=["id", "n", "bitmap"])
+
+    return sets.select("id", "n", "tokens").mapInArrow(mapped, "id long, n long, bitmap binary")
+
+
+def _may_link(n: np.ndarray, m: np.ndarray, one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and m shingles with these parity bitmaps can have the index ``percent``."""
+    apart = np.maximum(np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64), np.abs(n - m))
+    # intersection <= (n + m - apart) / 2 and union >= (n + m + apart) / 2
+    return 100 * (n + m - apart) >= percent * (n + m + apart)
+
+
+def _as_maps(column) -> np.ndarray:
+    return np.frombuffer(as_bytes(column)[0].tobytes(), dtype=np.uint64).reshape(-1, BITMAP_BITS // 64)
+
+
+def _stars(entries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each set with one of another component for some of its shingles; ``entries`` has component."""
+    drawn = entries.groupBy("kind", "token").agg(F.min_by(F.struct("id", "component"), F.xxhash64("id", "token")).alias("r")).select("kind", "token", F.col("r.id").alias("a"), F.col("r.component").alias("other"))
+    # a set has no more shingles here than its prefixes
+    few = entries.join(drawn, ["kind", "token"]).where("component <> other").groupBy("id").agg(F.slice(F.collect_set("a"), 1, STARS).alias("few"))
+    pairs = few.select(F.explode("few").alias("a"), F.col("id").alias("b"))
+    left = bits.select(F.col("id").alias("a"), F.col("n").alias("n1"), F.col("bitmap").alias("m1"))
+    right = bits.select(F.col("id").alias("b"), F.col("n").alias("n2"), F.col("bitmap").alias("m2"))
+
+    def near(batches):
+        for batch in batches:
+            n, m, one, other = batch.column("n1").to_numpy(), batch.column("n2").to_numpy(), _as_maps(batch.column("m1")), _as_maps(batch.column("m2"))
+            apart = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64) / (n + m)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(apart)], names=["a", "b", "apart"]).filter(pa.array(_may_link(n, m, one, other, percent)))
+
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "n1", "n2", "m1", "m2").mapInArrow(near, "a long, b long, apart double")
+    nearest = met.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("apart", "a"))), 1, NEAREST).alias("k"))
+    return nearest.select(F.explode("k.a").alias("a"), "b")
+
 
-    blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("blocks")).where("blocks > 0")
-    members = sets.join(families, "id").join(blocks, "family").select("id", "n", "component", "family", "blocks", "tokens")
-    bits = members.mapInArrow(mapped, "id long, n long, component long, family long, blocks long, bitmap binary")
+def close_pairs(group: np.ndarray, part: np.ndarray, mixed: np.ndarray, ids: np.ndarray, n: np.ndarray, component: np.ndarray, maps: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs (i, j) of rows of one group, of different components, that sizes and parity bitmaps don't rule out.
+
+    ``group`` is sorted. Where ``mixed``, only pairs of different parts are looked at.
+    """
+    found = [np.zeros((2, 0), dtype=np.int64)]
+    for d in range(1, len(group)):
+        left = np.flatnonzero(group[d:] == group[:-d])
+        if not len(left):
+            break
+        left = left[(component[left] != component[left + d]) & ~(mixed[left] & (part[left] == part[left + d]))]
+        for at in range(0, len(left), _PAIRS):
+            x = left[at : at + _PAIRS]
+            y = x + d
+            may = _may_link(n[x], n[y], maps[x], maps[y], percent)
+            x, y = x[may], y[may]
+            found.append(np.where(ids[x] < ids[y], np.stack([x, y]), np.stack([y, x])))
+    return np.concatenate(found, axis=1)
+
+
+def _candidates(entries: DataFrame, bits: DataFrame, partitions: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a prefix shingle of the first order.
+
+    ``entries`` has component; sets that share none under some order are left out. Sets of a shingle are dealt into blocks of about BLOCK_SETS,
+    and each pair of blocks is one group with its bitmaps, so that pairs which fail are
+    never rows. Shingles of one block share groups.
+    """
+    token = entries.groupBy("kind", "token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"))
+    mixed = token.where("x < y").select("kind", "token", F.ceil(F.col("m") / BLOCK_SETS).alias("blocks"))
+    open_rows = written(entries.join(mixed, ["kind", "token"]).select("kind", "token", "id", "component", "blocks"), "open")
+    # one bit for each order
+    every = (1 << PREFIX_ORDERS) - 1
+    met = open_rows.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, kind)")).alias("orders")).where(F.col("orders") == every).select("id")
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    dealt = bits.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    dealt = open_rows.where("kind = 0").join(bits.join(met, "id", "left_semi"), "id").withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     single = F.col("blocks") == 1
-    dealt = dealt.withColumns({"single": single, "grp": F.when(single, F.pmod(F.xxhash64("family"), F.lit(partitions))).otherwise(F.col("family")), "lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+    spread = F.when(single, F.pmod(F.xxhash64("token"), F.lit(4 * partitions))).otherwise(F.xxhash64("token"))
+    dealt = dealt.select("token", "id", "n", "component", "own", "bitmap", single.alias("single"), spread.alias("grp"), F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
 
     def compare(table: pa.Table) -> pa.Table:
-        family, block, ids, n, component = (table.column(c).to_numpy() for c in ("family", "own", "id", "n", "component"))
-        maps = np.frombuffer(as_bytes(table.column("bitmap"))[0].tobytes(), dtype=np.uint64).reshape(len(ids), BITMAP_BITS // 64)
-        found = []
-        order = np.argsort(family, kind="stable")
-        edges = np.flatnonzero(np.diff(family[order])) + 1
-        for rows in np.split(order, edges):
-            right = rows if table.column("lo")[0].as_py() == table.column("hi")[0].as_py() else rows[block[rows] == table.column("hi")[0].as_py()]
-            left = rows if right is rows else rows[block[rows] == table.column("lo")[0].as_py()]
-            for at in range(0, len(left), 64):
-                x = left[at : at + 64]
-                apart = np.bitwise_count(maps[x][:, None, :] ^ maps[right][None, :, :]).sum(axis=2, dtype=np.int64)
-                total = n[x][:, None] + n[right][None, :]
-                # intersection <= (total - apart) / 2 and union >= (total + apart) / 2
-                may = (100 * (total - apart) >= percent * (total + apart)) & (component[x][:, None] != component[right][None, :])
-                if right is rows:
-                    may &= ids[x][:, None] < ids[right][None, :]
-                i, j = np.nonzero(may)
-                found.append(np.stack([ids[x[i]], ids[right[j]]]))
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+        token, own, ids, n, component = (table.column(c).to_numpy() for c in ("token", "own", "id", "n", "component"))
+        maps = _as_maps(table.column("bitmap"))
+        order = np.lexsort((own, token))
+        token, own, ids, n, component, maps = (c[order] for c in (token, own, ids, n, component, maps))
+        group = np.cumsum(np.concatenate(([False], token[1:] != token[:-1])))
+        across = np.full(len(ids), table.column("lo")[0].as_py() != table.column("hi")[0].as_py())
+        i, j = close_pairs(group, own, across, ids, n, component, maps, percent)
+        pairs = np.unique(np.stack([ids[i], ids[j]]), axis=1)
         return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
-    return dealt.groupBy("single", "grp", "lo", "hi").applyInArrow(compare, "a long, b long")
+    return dealt.groupBy("single", "grp", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
 
 
-def similarity_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
-
-    Two documents link when 100 * |intersection| >= percent * |union| of their shingle
-    sets; component_id is the smallest id that links reach. Null and empty texts and
-    texts without words have no shingles and are alone. Ids must be integers; a null id
-    counts as larger than all others and is returned as null. Rows with equal ids are
-    one node. Other columns are ignored.
-    """
+def _rows(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
+    """(id, digest, n, component, least) of each row; component is a number of the component, least its smallest id."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    corpus = chunked(docs, doc_id, text, 0.3)
+    corpus = chunked(docs, doc_id, text, 0.3, ordered=False)
     sets = written(_text_sets(corpus.rows, corpus.buckets, shingle, percent), "sets")
-    classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"))
-    first = written(sets.where("tokens is not null").select("id", "n", "tokens").join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"]), "representatives")
+    # the least row of a class is the first in its chunk, so that it has the tokens
+    classes = written(sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("row").alias("node"), F.min("id").alias("least")), "classes")
+    first = written(sets.where("tokens is not null").select(F.col("row").alias("id"), "n", "tokens").join(classes.select(F.col("node").alias("id")), "id", "left_semi"), "representatives")
     size = 8 * (first.agg(F.sum("n").alias("s")).first()["s"] or 0)
     near = written(_mostly_shared(first, max(partitions, -(-size // CHUNK_BYTES)), max(2 * partitions, size // BUCKET_BYTES), percent), "near")
-    quick = written(verified(_quick_pairs(near), near, percent), "quick")
-    found = components(quick)
-    placed = near.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "tokens", "rarity", F.coalesce("component", "id").alias("component"))
-    families = written(_families(placed, percent), "families")
-    open_pairs = written(_open_pairs(placed, families, partitions, percent), "pairs")
-    slow = verified(open_pairs, near, percent)
-    final = components(quick.unionAll(slow))
-    of_class = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", F.col("n").alias("m"), F.coalesce("component", "rep").alias("component"))
-    keyed = sets.select("id", "n", "h1", "h2")
-    full = keyed.where("n > 0")
-    joined = full.join(of_class, (full["h1"] == of_class["h1"]) & (full["h2"] == of_class["h2"]) & (full["n"] == of_class["m"])).select("id", "n", "component")
-    rows = joined.unionAll(keyed.where("n = 0").select("id", "n", F.col("id").alias("component")))
-    own = lambda c: F.when(F.col(c) != _LAST, F.col(c)).cast(docs.schema[doc_id].dataType)
-    return rows.select(own("id").alias(doc_id), F.col("n").alias("n_shingles"), own("component").alias("component_id"))
+    links = written(verified(_quick_pairs(near), near, percent), "quick")
+    found = components(links)
+    labelled = lambda rows: rows.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    entries = written(_open_entries(labelled(near), percent), "entries")
+    bits = written(_bitmaps(near.join(entries.select("id").distinct(), "id", "left_semi")), "bitmaps")
+    for _ in range(STAR_ROUNDS):
+        links = written(links.unionAll(verified(_stars(labelled(entries), bits, percent), near, percent)), "stars")
+        found = components(links)
+    candidates = written(_candidates(labelled(entries), bits, partitions, percent), "pairs")
+    final = components(links.unionAll(verified(candidates, near, percent, range(1, PREFIX_ORDERS))))
+    of_class = classes.join(final, "node", "left").select("h1", "h2", F.col("n").alias("m"), F.coalesce("component", "node").alias("component"), "least")
+    smallest = of_class.groupBy("component").agg(F.min("least").alias("least"))
+    of_class = of_class.drop("least").join(smallest, "component")
+    full = sets.where("n > 0").select("id", "digest", "n", "h1", "h2")
+    joined = full.join(of_class, (full["h1"] == of_class["h1"]) & (full["h2"] == of_class["h2"]) & (full["n"] == of_class["m"])).select("id", "digest", "n", "component", "least")
+    return joined.unionAll(sets.where("n = 0").select("id", "digest", "n", F.lit(None).cast("long").alias("component"), F.col("id").alias("least")))
+
+
+def similarity_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    Two rows link when 100 * |intersection| >= percent * |union| of their shingle sets;
+    component_id is the smallest id that links reach. Null and empty texts and texts
+    without words have no shingles and are alone. Ids must be integers; a repeated id is
+    a row each, with its own text's component. A row without id is linked like others;
+    component_id is null only where no row of a component has an id. Other columns are ignored.
+    """
+    kind = docs.schema[doc_id].dataType
+
+    def make() -> DataFrame:
+        rows = _rows(docs, doc_id, text, shingle, percent)
+        return rows.select(F.col("id").cast(kind).alias(doc_id), F.col("n").alias("n_shingles"), F.col("least").cast(kind).alias("component_id"))
+
+    return result(docs.sparkSession, "components", make)
 
 
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """The rows, with all their columns, that are the smallest id of their component; rows without id stay."""
-    found = similarity_components(docs, doc_id=doc_id, text=text, shingle=shingle, percent=percent)
-    others = found.where(F.col(doc_id) != F.col("component_id")).select(doc_id).distinct()
-    return docs.join(others, doc_id, "left_anti").select(docs.columns)
+    """One row, with all its columns, of each component: that of the smallest id, null ids last, then by a digest of the text.
+
+    Rows that repeat id and text count as copies, of which one stays. Texts without words all stay.
+    """
+    spark = docs.sparkSession
+    names = docs.columns
+    id_, digest, place = (_unused(names, n) for n in ("id", "digest", "place"))
+
+    def make() -> DataFrame:
+        rows = _rows(docs, doc_id, text, shingle, percent).where("n > 0")
+        return rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("k")).select(F.col("k.id").alias(id_), F.col("k.digest").alias(digest))
+
+    kept = result(spark, "kept", make)
+    body = F.col(text).cast("string")
+    worded = F.coalesce(body.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    keyed = docs.where(worded).withColumns({id_: F.col(doc_id).cast("long"), digest: F.unhex(F.md5(body))})
+    left, right = keyed.alias("l"), kept.alias("r")
+    same = F.col(f"l.{id_}").eqNullSafe(F.col(f"r.{id_}")) & (F.col(f"l.{digest}") == F.col(f"r.{digest}"))
+    held = left.join(right, same, "left_semi")
+    one = Window.partitionBy(id_, digest).orderBy(F.xxhash64(*names))
+    return docs.where(~worded).unionAll(held.withColumn(place, F.row_number().over(one)).where(F.col(place) == 1).select(*names))
+
+
+def _unused(names: list[str], name: str) -> str:
+    taken = {n.lower() for n in names}
+    name = f"_{name}"
+    while name in taken:
+        name = f"_{name}"
+    return name

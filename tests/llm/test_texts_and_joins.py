@@ -88,6 +88,47 @@ def test_jaccard_components_match_brute_force(spark):
     assert got == {(None if i == 1 << 62 else i): (n, None if c == 1 << 62 else c) for i, (n, c) in expected.items()}
 
 
+def test_jaccard_of_chains_and_common_shingles(spark, monkeypatch):
+    # a chain in which neighbours share rare shingles, and sets that share common ones without a link
+    words = lambda k: [f"c{k + i}" for i in range(40)]
+    chain = [(i, " ".join(words(4 * i))) for i in range(300)]
+    draw = random.Random(12)
+    common = " ".join(f"common{i}" for i in range(30))
+    template = [(1000 + i, common + " " + " ".join(f"u{draw.randrange(10**6)}" for _ in range(14))) for i in range(150)]
+    rows = chain + template
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 16)
+    monkeypatch.setattr(jaccard, "QUICK_ORDERS", 1)
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", 0)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similarity_components(edge_docs(spark, rows)).collect()}
+    assert got == brute_components(rows)
+
+
+def test_close_pairs_lose_no_link():
+    draw = np.random.default_rng(4)
+    sets = [np.unique(draw.integers(0, 60, draw.integers(20, 50)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(60)]
+    maps = np.array([np.frombuffer(jaccard.parity(x), np.uint64) for x in sets])
+    n, ids = np.array([len(x) for x in sets]), draw.permutation(60)
+    component = np.arange(60) // 2
+    i, j = jaccard.close_pairs(np.zeros(60, np.int64), np.arange(60) % 3, np.zeros(60, bool), ids, n, component, maps, 75)
+    found = set(zip(i.tolist(), j.tolist(), strict=True))
+    assert all(ids[a] < ids[b] for a, b in found)
+    for a in range(60):
+        for b in range(60):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if ids[a] < ids[b] and component[a] != component[b] and 100 * common >= 75 * (n[a] + n[b] - common):
+                assert (a, b) in found
+
+
+def test_jaccard_of_repeated_and_null_ids(spark):
+    body = "a b c d e f g h i j k"
+    rows = [(5, body), (5, body), (5, "other words of a different kind here"), (7, body), ((1 << 63) - 1, "x y z"), (None, body), (None, "x y z"), (None, "only null ids hold this text"), (None, "only null ids hold this text")]
+    got = sorted(((r.doc_id, r.component_id) for r in jaccard.similarity_components(edge_docs(spark, rows)).collect()), key=str)
+    last = (1 << 63) - 1
+    assert got == sorted([(5, 5), (5, 5), (5, 5), (7, 5), (last, last), (None, 5), (None, last), (None, None), (None, None)], key=str)
+    kept = jaccard.one_of_each(edge_docs(spark, [*rows, (8, None), (8, None), (9, " ")]))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(5, body), (5, rows[2][1]), (last, "x y z"), (None, rows[7][1]), (8, None), (8, None), (9, " ")], key=str)
+
+
 def test_jaccard_keeps_one_of_each_group(spark):
     docs = edge_docs(spark, [(3, "a b c d e f"), (2, "a b c d e f"), (5, None), (6, "x y")])
     kept = jaccard.one_of_each(docs)
@@ -119,10 +160,11 @@ def test_contained_items_match_brute_force(spark):
     expected = sorted((i, k, len(shingle_set(q)), len(shingle_set(q) & shingle_set(t))) for i, t in rows for k, q in items if shingle_set(q) and 100 * len(shingle_set(q) & shingle_set(t)) >= 75 * len(shingle_set(q)))
     tests = spark.createDataFrame(items, "item_id long, text string")
     docs = edge_docs(spark, rows)
-    for size in (8 << 20, 200):  # one block, and several
-        assert sorted(map(tuple, decontaminate.contained_items(docs, tests, block_bytes=size).collect())) == expected
-    kept = decontaminate.decontaminated(docs, tests)
-    assert sorted(r.text or "" for r in kept.collect()) == sorted(t or "" for i, t in rows if not any(e[0] == i and shingle_set(t) for e in expected if 100 * len(shingle_set(dict(items)[e[1]]) & shingle_set(t)) >= 75 * e[2]))
+    for size in (8 << 20, 200):  # broadcast, and joined
+        assert sorted(map(tuple, decontaminate.contained_items(docs, tests, broadcast_bytes=size).collect())) == expected
+        kept = decontaminate.decontaminated(docs, tests, broadcast_bytes=size)
+        assert kept.columns == docs.columns
+        assert sorted(r.text or "" for r in kept.collect()) == sorted(t or "" for i, t in rows if not any(e[0] == i and shingle_set(t) for e in expected if 100 * len(shingle_set(dict(items)[e[1]]) & shingle_set(t)) >= 75 * e[2]))
     assert decontaminate.contained_items(docs, tests.limit(0)).count() == 0
     assert decontaminate.contained_items(docs.limit(0), tests).count() == 0
 
@@ -146,7 +188,10 @@ def brute_repeats(rows, span):
     return sorted(out)
 
 
-def test_repeats_match_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize(("hot", "share"), [(suffixes.HOT, suffixes.SHARE), (1, 50), (2, 400)])
+def test_repeats_match_brute_force(spark, monkeypatch, hot, share):
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    monkeypatch.setattr(suffixes, "SHARE", share)
     draw = random.Random(3)
     passages = ["".join(draw.choice("ab \n") for _ in range(draw.randint(40, 160))) for _ in range(12)]
     rows = [(i, "".join(draw.choice(passages) if draw.random() < 0.7 else "".join(draw.choice("cdefgh") for _ in range(draw.randint(0, 70))) for _ in range(draw.randint(0, 4)))) for i in range(120)]
@@ -162,6 +207,27 @@ def test_repeats_match_brute_force(spark, monkeypatch):
         assert cut == bytes(r.kept)
 
 
+def test_repeats_around_a_common_passage_with_extreme_and_null_ids(spark, monkeypatch):
+    draw = random.Random(9)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(120))
+    noise = lambda: "".join(draw.choice("xyz") for _ in range(draw.randint(0, 90)))
+    largest = (1 << 63) - 1
+    rows = [(i * 1000 - 5000, noise() + passage + noise()) for i in range(60)] + [(largest, passage), (-largest - 1, "x" * 60), (largest - 1, "x" * 60)]
+    monkeypatch.setattr(suffixes, "chunked", lambda *a: chunks.chunked(*a, chunk_bytes=2048))
+    monkeypatch.setattr(suffixes, "HOT", 3)
+    got = suffixes.remove_repeats(edge_docs(spark, [*rows, (None, passage), (None, passage), (None, "q" * 80)]), with_text=False).collect()
+    assert sorted(tuple(r) for r in got if r.doc_id is not None) == brute_repeats(rows, 50)
+    assert sorted(r.n_removed for r in got if r.doc_id is None) == [0, 120, 120]
+
+
+def test_chunks_follow_the_ids():
+    draw = np.random.default_rng(5)
+    ids = np.sort(draw.integers(-(1 << 62), 1 << 62, 2000))
+    for steps in (1, 7):
+        places = chunks.place_of(ids, np.array([ids[0], *ids[200:2000:200], ids[-1]]), steps)
+        assert (np.diff(places) >= 0).all() and places.min() == 0 and places.max() == 10 * steps - 1
+
+
 def test_repeats_of_an_empty_table(spark):
     docs = edge_docs(spark, [(1, "a")]).limit(0)
     assert suffixes.remove_repeats(docs).count() == 0
@@ -178,15 +244,18 @@ def test_long_text_blocks_see_all_strings(monkeypatch):
 
 def test_suffix_levels_grow_geometrically():
     draw = np.random.default_rng(2)
-    levels = suffixes.SuffixLevels(4)
+    keys = draw.integers(97, 100, (40, 30, 4)).astype(np.uint8)
+    levels = suffixes.SuffixLevels(keys.ravel(), 4)
     seen: dict[bytes, int] = {}
     for batch in range(40):
-        keys = draw.integers(97, 100, (30, 4)).astype(np.uint8)
         documents = np.sort(draw.integers(batch * 3, batch * 3 + 3, 30))
-        got = levels.add(np.ascontiguousarray(keys).view("S4").ravel(), documents)
-        for k, d in zip(keys, documents.tolist(), strict=True):
+        got = levels.add(4 * (30 * batch + np.arange(30)), documents)
+        for k, d in zip(keys[batch], documents.tolist(), strict=True):
             seen[k.tobytes()] = min(seen.get(k.tobytes(), d), d)
-        assert got.tolist() == [seen[k.tobytes()] < d for k, d in zip(keys, documents.tolist(), strict=True)]
+        assert got.tolist() == [seen[k.tobytes()] < d for k, d in zip(keys[batch], documents.tolist(), strict=True)]
+    for places, _ in levels.levels:
+        ordered = levels.bytes_at(places)
+        assert (ordered[1:] > ordered[:-1]).all()
     sizes = [len(k) for k, _ in levels.levels]
     assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:], strict=False))
 

@@ -8,9 +8,13 @@ toxic one, and the gain is the difference of the two lengths. The gains of a tex
 windows (largest two, sums beyond thresholds, number of windows) go into a logistic
 calibration, fitted on the training rows and weighted to the share of either label.
 
-The sample to fit on is bounded by ``train_rows`` documents of each label and
-``train_bytes`` of each document, taken as evenly spaced windows. Scoring reads
-every window of every text.
+The sample to fit on is bounded by ``train_rows`` documents of each label, which are
+read whole. The calibration sees gains of texts that the dictionaries behind them
+weren't made of: the sample is cut into folds, and each fold's gains come from the
+dictionaries of the other folds. Scoring reads every window of every text.
+
+Dictionaries trained on whole windows of toxic documents don't tell the labels apart
+here (README): most of a toxic document is ordinary, and so is what the trainer keeps.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 from millrace.llm.text import as_bytes
 
 TRAIN_ROWS = 1500
-TRAIN_BYTES = 32 << 10
+CALIBRATION_FOLDS = 3
 WINDOW = 64
 LEVEL = 3
 ORDINARY_SIZE, TOXIC_SIZE = 16 << 10, 4 << 10
@@ -177,42 +181,46 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return np.concatenate(([w[0] - (slopes * mean).sum()], slopes))
 
 
-def fit(toxic: list[bytes], ordinary: list[bytes], n_toxic: int, n_ordinary: int) -> Model:
-    """A model of the sampled texts of either label; n_* are the labels' counts over all training rows."""
-    if not toxic or not ordinary:
-        return Model(b"", b"", np.concatenate(([30.0 if toxic else -30.0], np.zeros(5 + len(_GAINS)))))
+def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary of texts of either label."""
     grams = {n: toxic_grams(toxic, ordinary, n) for n in GRAMS}
     segments = Counter(toxic_segments(toxic, grams))
     ranked = sorted(segments, key=lambda s: (-segments[s], s))
     spread = [s for s in ranked for _ in range(min(segments[s], 8))]
-    model = Model(_dictionary([w for t in ordinary for w in windows(t, 160)], ORDINARY_SIZE), _complete(_dictionary(spread, TOXIC_SIZE // 2), ranked, TOXIC_SIZE), np.zeros(1))
-    plain, both = model.compressors()
-    x = np.array([features(t, plain, both) for t in toxic + ordinary])
-    y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
-    model.weights = _logistic(x, y, np.where(y == 1, n_toxic / len(toxic), n_ordinary / len(ordinary)))
+    return _dictionary([w for t in ordinary for w in windows(t, 160)], ORDINARY_SIZE), _complete(_dictionary(spread, TOXIC_SIZE // 2), ranked, TOXIC_SIZE)
+
+
+def fit(toxic: list[bytes], ordinary: list[bytes], n_toxic: int, n_ordinary: int) -> Model:
+    """A model of the sampled texts of either label; n_* are the labels' counts over all training rows."""
+    if not toxic or not ordinary:
+        return Model(b"", b"", np.concatenate(([30.0 if toxic else -30.0], np.zeros(5 + len(_GAINS)))))
+    model = Model(*dictionaries(toxic, ordinary), np.zeros(1))
+    folds = CALIBRATION_FOLDS if min(len(toxic), len(ordinary)) >= CALIBRATION_FOLDS else 1
+    x, y = [], []
+    for k in range(folds):
+        others = [[t for i, t in enumerate(texts) if i % folds != k] for texts in (toxic, ordinary)]
+        plain, both = (model if folds == 1 else Model(*dictionaries(*others), np.zeros(1))).compressors()
+        for label, texts in ((1.0, toxic), (0.0, ordinary)):
+            x += [features(t, plain, both) for t in texts[k::folds]]
+            y += [label] * len(texts[k::folds])
+    y = np.array(y)
+    model.weights = _logistic(np.array(x), y, np.where(y == 1, n_toxic / len(toxic), n_ordinary / len(ordinary)))
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", train_rows: int = TRAIN_ROWS, train_bytes: int = TRAIN_BYTES) -> Model:
-    """Fit on labelled rows that aren't held out: ``train_rows`` of either label, drawn by a hash of the id."""
+def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", train_rows: int = TRAIN_ROWS) -> Model:
+    """Fit on labelled rows that aren't held out: ``train_rows`` of either label, drawn by a hash of the id.
+
+    Labels other than 0 and 1 and null ids are left out. Repeated label rows count once;
+    an id with both labels has none.
+    """
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).where(~held_out(F.col("_id")) & F.col("_y").isin(0, 1))
+    known = known.groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_most")).where(F.col("_y") == F.col("_most")).drop("_most")
     counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
     drawn = [known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(train_rows) for y in (0, 1)]
     # at most 2 * train_rows ids
     wanted = F.broadcast(drawn[0].unionAll(drawn[1]))
-    rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")).join(wanted, "_id").select("_y", "_text")
-
-    def cut(batches):
-        for batch in batches:
-            out = []
-            for t in batch.column(1).to_pylist():
-                body = t.encode()
-                if len(body) > train_bytes:
-                    pieces = windows(body)
-                    step = len(body) / train_bytes
-                    body = b"".join(pieces[int(i * step)] for i in range(int(len(pieces) / step)))
-                out.append(body)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["y", "sample"])
+    rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")).join(wanted, "_id").select(F.col("_y").alias("y"), F.encode("_text", "UTF-8").alias("sample"))
 
     n_toxic, n_ordinary = counts.get(1, 0), counts.get(0, 0)
 
@@ -222,8 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
         yield pa.RecordBatch.from_arrays([pa.array([model.ordinary], pa.binary()), pa.array([model.toxic], pa.binary()), pa.array([model.weights.tolist()], pa.list_(pa.float64()))], names=["ordinary", "toxic", "weights"])
 
     # the bounded sample is learnt from in one task; the driver gets the dictionaries and weights
-    sample = rows.mapInArrow(cut, "y int, sample binary").repartition(1)
-    model = sample.mapInArrow(learn, "ordinary binary, toxic binary, weights array<double>").first()
+    model = rows.repartition(1).mapInArrow(learn, "ordinary binary, toxic binary, weights array<double>").first()
     if model is None:
         return fit([], [], 0, 0)
     return Model(bytes(model.ordinary), bytes(model.toxic), np.array(model.weights))

@@ -175,7 +175,7 @@ def avi(frames: list[bytes]) -> bytes:
 
 def frame_places(file: bytes) -> np.ndarray:
     """Start and size of each frame of an AVI file, by its index."""
-    if file[:4] != b"RIFF" or file[8:12] != b"AVI ":
+    if len(file) < 12 or file[:4] != b"RIFF" or file[8:12] != b"AVI ":
         raise ValueError("not an AVI file")
     at, movi, index = 12, None, None
     while at + 8 <= len(file):
@@ -183,7 +183,8 @@ def frame_places(file: bytes) -> np.ndarray:
         if name == b"LIST" and file[at + 8 : at + 12] == b"movi":
             movi = at + 8
         elif name == b"idx1":
-            index = np.frombuffer(file, dtype="<u4", count=size // 4, offset=at + 8).reshape(-1, 4).astype(np.int64)
+            index = np.frombuffer(file[at + 8 : at + 8 + size // 16 * 16], dtype="<u4")
+            index = index[: len(index) // 4 * 4].reshape(-1, 4).astype(np.int64)
         at += 8 + size + (size & 1)
     if movi is None or index is None:
         raise ValueError("an AVI file without frames or index")
@@ -191,22 +192,60 @@ def frame_places(file: bytes) -> np.ndarray:
     return np.column_stack([movi + rows[:, 2] + 8, rows[:, 3]])
 
 
-def read_frames(files: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Decoded frames (in groups of at most LANES rows) of several files, and the files' frame offsets."""
-    scans, counts = [], [0]
-    for file in files:
-        places = frame_places(file)
-        counts.append(len(places))
-        for start, size in places.tolist():
-            if not file.startswith(HEADER, start) or file[start + size - 2 : start + size] != _EOI:
-                raise ValueError("a frame of another form")
-            scans.append(file[start + len(HEADER) : start + size - 2])
-    groups = []
+def frame_scans(file: bytes | None) -> list[tuple[bytes, bytes]]:
+    """Header and entropy-coded bytes of each frame of a file; ValueError names what is wrong with it."""
+    if file is None:
+        raise ValueError("no file")
+    out = []
+    for start, size in frame_places(file).tolist():
+        frame = file[start : start + size]
+        scan = frame.find(b"\xff\xda")
+        if len(frame) != size or not frame.startswith(b"\xff\xd8") or frame[-2:] != _EOI or scan < 0:
+            raise ValueError("a damaged frame")
+        at = scan + 2 + int.from_bytes(frame[scan + 2 : scan + 4], "big")
+        out.append((frame[:at], frame[at:-2]))
+        if frame[:at] != HEADER:
+            raise ValueError("a frame of another form than the writer's")
+    if not out:
+        raise ValueError("no frames")
+    return out
+
+
+def _decode_scans(scans: list[bytes]) -> np.ndarray:
+    groups = [np.zeros((0, FRAME), dtype=np.uint8)]
     for lo in range(0, len(scans), LANES):
         part = scans[lo : lo + LANES]
         offsets = np.concatenate(([0], np.cumsum([len(s) for s in part])))
         groups.append(decode_frames(HEADER, np.frombuffer(b"".join(part), dtype=np.uint8), offsets))
-    return groups, np.cumsum(counts)
+    return groups[1] if len(groups) == 2 else np.concatenate(groups)
+
+
+def read_frames(files: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[str | None]]:
+    """Decoded frames of several files, the files' frame offsets, and what is wrong with each file, if anything.
+
+    A file with an error has no frames.
+    """
+    scans, errors = [], []
+    for file in files:
+        try:
+            scans.append([s for _, s in frame_scans(file)])
+            errors.append(None)
+        except (ValueError, IndexError, struct.error) as e:
+            scans.append([])
+            errors.append(str(e))
+    try:
+        samples = _decode_scans([s for one in scans for s in one])
+    except (ValueError, IndexError):
+        # some file's bits are damaged: each by itself
+        groups = []
+        for i, one in enumerate(scans):
+            try:
+                groups.append(_decode_scans(one))
+            except (ValueError, IndexError) as e:
+                groups.append(np.zeros((0, FRAME), dtype=np.uint8))
+                scans[i], errors[i] = [], str(e)
+        samples = np.concatenate(groups)
+    return samples, np.concatenate(([0], np.cumsum([len(one) for one in scans]))).astype(np.int64), errors
 
 
 def histograms(frames: np.ndarray) -> np.ndarray:
@@ -221,7 +260,7 @@ def cuts(histogram: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """
     n = len(histogram)
     first = np.zeros(n, dtype=bool)
-    first[offsets[:-1]] = True
+    first[offsets[:-1][np.diff(offsets) > 0]] = True
     change = np.zeros(n, dtype=np.int64)
     change[1:] = np.abs(np.diff(histogram, axis=0)).sum(axis=1)
     change[first] = 0
@@ -269,54 +308,58 @@ def store(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def _decoded(column: pa.Array):
-    """(row range, files, decoded samples, shot starts, frame offsets) of a media column, some MB at a time."""
+    """(row range, files, decoded samples, shot starts, frame offsets, errors) of a media column, some MB at a time."""
     _, offsets = as_bytes(column)
     for lo, hi in slices(offsets):
         files = column[lo:hi].to_pylist()
-        groups, places = read_frames(files)
-        shots = cuts(np.concatenate([histograms(g) for g in groups]), places)
-        yield lo, hi, files, groups[0] if len(groups) == 1 else np.concatenate(groups), shots, places
+        samples, places, errors = read_frames(files)
+        yield lo, hi, files, samples, cuts(histograms(samples), places), places, errors
+
+
+def _clips(shots: np.ndarray) -> list[dict]:
+    """The clips between the shot starts of one file's frames."""
+    starts = np.flatnonzero(shots).tolist()
+    ends = [*starts[1:], len(shots)]
+    return [{"clip": i, "first_frame": a, "last_frame": b - 1, "start_ms": a * 1000 // FPS, "end_ms": b * 1000 // FPS} for i, (a, b) in enumerate(zip(starts, ends, strict=True))]
+
+
+_CLIP = "struct<clip:long,first_frame:long,last_frame:long,start_ms:long,end_ms:long>"
+_CLIP_TYPE = pa.struct([(name, pa.int64()) for name in ("clip", "first_frame", "last_frame", "start_ms", "end_ms")])
 
 
 def describe(stored: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
-    """Digests and shots of each stored row, all from the media bytes as read back.
+    """Digests, shots and clips of each stored row, all from the media bytes as read back.
 
     payload_* are of the decoded samples with the filling, media_* of the file. feature
-    is the number of frames and the first frame of each shot, as ``frames/0,a,b``.
+    is the number of frames and the first frame of each shot, as ``frames/0,a,b``, and
+    clips are the shots with their times. A null, damaged or foreign file has null
+    payload_*, tail_crc32, feature and clips, and error says why; else error is null.
     """
     kind = stored.schema[doc_id].dataType.simpleString()
-    names = [doc_id, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [None, None, pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    names = [doc_id, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "clips", "error"]
+    kinds = [None, None, pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(_CLIP_TYPE), pa.string()]
 
     def run(batches):
         for batch in batches:
-            for lo, hi, files, samples, shots, places in _decoded(batch.column(2)):
+            for lo, hi, files, samples, shots, places, errors in _decoded(batch.column(2)):
                 rows = []
-                for file, a, b in zip(files, places[:-1].tolist(), places[1:].tolist(), strict=True):
+                for file, a, b, error in zip(files, places[:-1].tolist(), places[1:].tolist(), errors, strict=True):
+                    stored_as = (None, None) if file is None else (len(file), hashlib.sha256(file).hexdigest())
+                    if error:
+                        rows.append((None, None, None, *stored_as, None, None, error))
+                        continue
                     payload = samples[a:b].tobytes()
-                    first = ",".join(map(str, np.flatnonzero(shots[a:b]).tolist()))
-                    rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(file), hashlib.sha256(file).hexdigest(), f"{b - a}/{first}"))
+                    found = _clips(shots[a:b])
+                    first = ",".join(str(c["first_frame"]) for c in found)
+                    rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), *stored_as, f"{b - a}/{first}", found, None))
                 made = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds[2:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(1)[lo:hi], *made], names=names)
 
     read = stored.select(doc_id, "n_bytes", "media")
-    return read.mapInArrow(run, f"{doc_id} {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return read.mapInArrow(run, f"{doc_id} {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, clips array<{_CLIP}>, error string")
 
 
 def clips(stored: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
-    """One row per shot: doc_id, clip (from 0), first_frame, last_frame, start_ms, end_ms."""
-    kind = stored.schema[doc_id].dataType.simpleString()
-
-    def run(batches):
-        for batch in batches:
-            for lo, _, _, samples, shots, places in _decoded(batch.column(1)):
-                starts = np.flatnonzero(shots)
-                ends = np.append(starts[1:], len(samples))
-                row = np.searchsorted(places, starts, side="right") - 1
-                ends = np.minimum(ends, places[row + 1])
-                first = np.searchsorted(starts, places[row])
-                base = places[row]
-                columns = [np.arange(len(starts)) - first, starts - base, ends - base - 1, (starts - base) * 1000 // FPS, (ends - base) * 1000 // FPS]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lo + row)), *(pa.array(c, pa.int64()) for c in columns)], names=[doc_id, "clip", "first_frame", "last_frame", "start_ms", "end_ms"])
-
-    return stored.select(doc_id, "media").mapInArrow(run, f"{doc_id} {kind}, clip long, first_frame long, last_frame long, start_ms long, end_ms long")
+    """One row per shot: doc_id, clip (from 0), first_frame, last_frame, start_ms, end_ms; files with an error have none."""
+    shots = describe(stored, doc_id=doc_id).select(doc_id, F.explode("clips").alias("_clip"))
+    return shots.select(doc_id, "_clip.*")

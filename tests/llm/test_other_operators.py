@@ -13,6 +13,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import regex
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -124,6 +125,31 @@ def test_shots_are_cut_where_histograms_change(spark):
     assert [tuple(r) for r in shots] == [(1, 0, 0, 5, 0, 240), (1, 1, 6, 9, 240, 400), (2, 0, 0, 0, 0, 40)]
 
 
+def test_damaged_files_have_an_error(spark):
+    files = {r.doc_id: bytes(r.media) for r in media.store(edge_docs(spark, [(1, "abc" * 900), (2, "z")])).collect()}
+    good = files[1]
+    place = media.frame_places(good)[1]
+    bits = bytearray(good)
+    bits[place[0] + len(media.HEADER) : place[0] + place[1] - 2] = bytes(place[1] - 2 - len(media.HEADER))
+    header = bytearray(good)
+    header[place[0] + 5] ^= 1
+    rows = [(0, files[2]), (1, good), (2, None), (3, b""), (4, b"RIFFxxxxWAVE"), (5, good[: len(good) // 2]), (6, bytes(bits)), (7, bytes(header)), (8, good[:-20]), (9, good)]
+    frame = spark.createDataFrame([(i, 5, bytearray(f) if f is not None else None) for i, f in rows], "doc_id long, n_bytes long, media binary").coalesce(1)
+    got = {r.doc_id: r for r in media.describe(frame).collect()}
+    assert {i for i, r in got.items() if r.error is None} >= {0, 1, 9} and {i for i, r in got.items() if r.error} >= {2, 3, 4, 5, 6, 7}
+    for r in got.values():
+        assert (r.payload_sha256 is None) == (r.clips is None) == (r.error is not None)
+    assert got[1].payload_sha256 == got[9].payload_sha256 == hashlib.sha256(b"abc" * 900 + b"\xff" * (2880 - 2700)).hexdigest()
+    assert {r.doc_id for r in media.clips(frame).collect()} == {i for i, r in got.items() if r.error is None}
+
+
+def test_long_media_round_trip(spark):
+    body = "ab c" * 200_000
+    r = media.describe(media.store(edge_docs(spark, [(1, body)]))).first()
+    payload = body.encode() + b"\xff" * (-len(body) % 576)
+    assert (r.payload_sha256, r.error) == (hashlib.sha256(payload).hexdigest(), None) and r.clips[-1].last_frame == len(payload) // 576 - 1
+
+
 # --- toxicity --------------------------------------------------------------------------------------
 
 
@@ -151,6 +177,38 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.without_toxic(docs, none).columns == docs.columns
 
 
+def test_scores_are_those_of_window_gains(spark):
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
+    text = lambda n: " ".join([word() for _ in range(60)] + ["zoqutix"] * n)
+    rows = [(i, text(6 * (i % 4 == 0))) for i in range(400)]
+    held = next(i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0)
+    docs = edge_docs(spark, [*rows, (900, None), (901, " ".join([word() for _ in range(60_000)])), rows[held], rows[held]])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows] * 2 + [(901, 0), (901, 1)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    used = [(t.encode(), i % 4 == 0) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    alone = toxicity.fit(sorted(t for t, y in used if y), sorted(t for t, y in used if not y), sum(y for _, y in used), sum(not y for _, y in used))
+    assert (model.ordinary, model.toxic) == (alone.ordinary, alone.toxic) and np.allclose(model.weights, alone.weights)
+    size = lambda w, d: len(zstandard.ZstdCompressor(level=model.level, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)).compress(w))
+
+    def brute(body):
+        gains = sorted((size(w, model.ordinary) - size(w, model.ordinary + model.toxic) for w in toxicity.windows(body)), reverse=True)
+        if not gains:
+            x = np.zeros(8)
+        else:
+            top = [*gains, 0]
+            beyond = [sum(max(g - t, 0) for g in gains) for t in (1, 2, 3)]
+            x = np.array([top[0], top[1], top[0] * math.log1p(len(gains)), *map(math.log1p, beyond), math.log1p(len(gains)), beyond[0] / len(gains)])
+        return 1 / (1 + math.exp(-min(max(model.weights[0] + x @ model.weights[1:], -30), 30)))
+
+    bodies = dict(rows) | {900: ""}
+    got = toxicity.scores(docs, model).collect()
+    assert len(got) == len(rows) + 4 and len({r.score for r in got if r.doc_id == held}) == 1
+    for r in got:
+        if r.doc_id in bodies and r.doc_id % 9 == 0:
+            assert math.isclose(r.score, brute(bodies[r.doc_id].encode()), rel_tol=1e-9)
+
+
 def test_toxic_words_that_ordinary_rows_hold_by_chance_are_learnt():
     draw = random.Random(8)
     word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import bpe, decontaminate, jaccard, pii, toxicity
 from millrace.llm.registry import vocabulary
-from millrace.llm.shared import new_folder
+from millrace.llm.shared import new_folder, remove, scope
 
 
 def without_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,11 +56,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, after every stage in order."""
-    base = new_folder(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        out = f"{base}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+    """The rows of the last stage, after every stage in order; what earlier stages wrote is removed."""
+    docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), None
+    for name, stage in STAGES:
+        out = new_folder(spark, name)
+        with scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(out)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(out), out
     return docs

@@ -133,11 +133,17 @@ def wilson(hits: Column, total: Column, z: float = Z95) -> tuple[Column, Column]
 def mcnemar(b: Column, c: Column) -> Column:
     """Two-sided exact binomial p of b against c discordant cases, capped at 1; 1 without any."""
     n, k = (b + c).cast("int"), F.least(b, c).cast("int")
-    # each term of the binomial sum follows from the one before
-    step = lambda acc, i: F.struct((acc["term"] * (n - i + 1) / i).alias("term"), (acc["sum"] + acc["term"] * (n - i + 1) / i).alias("sum"))
-    start = F.struct(F.pow(F.lit(0.5), n).alias("term"), F.pow(F.lit(0.5), n).alias("sum"))
-    terms = F.when(k > 0, F.sequence(F.lit(1), k)).otherwise(F.array().cast("array<int>"))
-    p = F.aggregate(terms, start, step, lambda acc: acc["sum"])
+    places = F.when(k > 0, F.sequence(F.lit(1), k)).otherwise(F.array().cast("array<int>"))
+    # the largest term as a logarithm, and the others as parts of it, from it downwards
+    largest = F.aggregate(places, F.lit(0.0), lambda acc, i: acc + F.log((n - k + i).cast("double")) - F.log(i.cast("double"))) - n * F.log(F.lit(2.0))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def step(acc, i):
+        at = k - i + 1
+        term = acc["term"] * at / (n - at + 1)
+        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+
+    p = F.exp(largest + F.log(F.aggregate(places, start, step, lambda acc: acc["sum"])))
     return F.when(n > 0, F.least(2 * p, F.lit(1.0))).otherwise(1.0)
 
 

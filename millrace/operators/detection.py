@@ -52,12 +52,24 @@ def merge_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame)
 
 
 def numbered(frame: DataFrame, order: list[str], name: str, blocks: int = 64) -> DataFrame:
-    """Number rows from 1 in the order of columns; the first column deals rows to blocks that are counted first."""
+    """Number rows from 1 in the order of columns, none of them null.
+
+    Rows are dealt to blocks by the first column and, where the second is a number, by
+    ``blocks`` ranges of it, so that one large value of the first is many groups. Blocks
+    are counted first; only their counts are summed in one task.
+    """
     lead = order[0]
-    counts = frame.groupBy(lead).agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(lead).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    rank = F.row_number().over(Window.partitionBy(lead).orderBy(*order[1:]))
-    return frame.withColumn("_rank", rank).join(before, lead).withColumn(name, (F.col("_before") + F.col("_rank")).cast("long")).drop("_rank", "_before")
+    cut = F.lit(0)
+    if len(order) > 1 and frame.schema[order[1]].dataType.typeName() in ("integer", "long", "double", "float", "short", "byte"):
+        bounds = frame.agg(F.percentile_approx(order[1], [i / blocks for i in range(1, blocks)], 10_000).alias("b")).first()["b"] or []
+        cut = F.lit(0)
+        for bound in sorted(set(bounds)):
+            cut = cut + (F.col(order[1]) > F.lit(bound)).cast("int")
+    dealt = frame.withColumn("_block", cut)
+    counts = dealt.groupBy(lead, "_block").agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(lead, "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    rank = F.row_number().over(Window.partitionBy(lead, "_block").orderBy(*order[1:]))
+    return dealt.withColumn("_rank", rank).join(before, [lead, "_block"]).withColumn(name, (F.col("_before") + F.col("_rank")).cast("long")).drop("_rank", "_before", "_block")
 
 
 def greedy_matches(pairs: DataFrame, group: list[str], threshold: float) -> DataFrame:

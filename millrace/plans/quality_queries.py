@@ -219,9 +219,16 @@ def regex_filter(spark, d):
     return good.select("page_id").unionAll(bad.select("page_id"))
 
 
-@query("w11_ordering_spec", "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 30")
+@query("w11_ordering_spec", "SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS place FROM customer")
 def ordering_spec(spark, d):
-    return apply_order(table(spark, d, "customer").select("c_custkey", "c_acctbal"), "-c_acctbal", "c_custkey").limit(30)
+    # nulls last, then by the negated value
+    rows = table(spark, d, "customer").select("c_custkey", "c_acctbal", F.col("c_acctbal").isNull().cast("int").alias("none"), F.coalesce(-F.col("c_acctbal"), F.lit(0.0)).alias("key"))
+    return D.numbered(rows, ["none", "key", "c_custkey"], "place").drop("none", "key")
+
+
+@query("w15_offset_page", "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 30 OFFSET 60")
+def offset_page(spark, d):
+    return apply_order(table(spark, d, "customer").select("c_custkey", "c_acctbal"), "-c_acctbal", "c_custkey").offset(60).limit(30)
 
 
 # --- review workflow ---------------------------------------------------------------------------

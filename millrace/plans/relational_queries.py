@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import relational as R
+from millrace.operators.detection import numbered
 from millrace.plans import fixtures as X
 from millrace.sources.tables import table
 
@@ -198,7 +199,7 @@ def all_terminal(spark, d):
     return X.jobs(spark, d).groupBy("batch").agg(F.count_if(F.col("status") == "open").alias("open")).where("open = 0").select("batch")
 
 
-@query("j12_near_duplicate_pairs", "SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND a.vec_id % 10 = 0 WHERE 1 - list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) < 0.3")
+@query("j12_near_duplicate_pairs", "SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE 1 - list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) < 0.3")
 def near_duplicate_pairs(spark, d):
     from millrace.operators.vector_search import blocked_pairs
 
@@ -533,15 +534,17 @@ def natural_order_key(spark, d):
     return table(spark, d, "customer").select("c_custkey", R.natural_key(F.col("c_name")).alias("key"))
 
 
-@query("w11_nulls_last_order", f"WITH {X.RAW_FILES} SELECT asset_id, status FROM raw_files ORDER BY status NULLS LAST, asset_id LIMIT 50 OFFSET 700")
+@query("w11_nulls_last_order", f"WITH {X.RAW_FILES} SELECT asset_id, status, row_number() OVER (ORDER BY status NULLS LAST, asset_id) AS place FROM raw_files")
 def nulls_last_order(spark, d):
-    return X.raw_files(spark, d).select("asset_id", "status").orderBy(F.asc_nulls_last("status"), "asset_id").offset(700).limit(50)
+    # statuses are lower-case words, after which this stands
+    rows = X.raw_files(spark, d).select("asset_id", "status", F.coalesce("status", F.lit("~")).alias("lead"))
+    return numbered(rows, ["lead", "asset_id"], "place").drop("lead")
 
 
-@query("w12_enum_order", "SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS place FROM orders ORDER BY place, o_orderkey LIMIT 100")
+@query("w12_enum_order", "SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS place, row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_orderkey) AS rank FROM orders")
 def enum_order(spark, d):
     place = F.when(F.col("o_orderstatus") == "P", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
-    return table(spark, d, "orders").select("o_orderkey", place.alias("place")).orderBy("place", "o_orderkey").limit(100)
+    return numbered(table(spark, d, "orders").select("o_orderkey", place.alias("place")), ["place", "o_orderkey"], "rank")
 
 
 @query("w13_sorted_limit", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
@@ -704,9 +707,19 @@ def duplicate_map(spark, d):
     return grouped.where("n > 1").select("asset_id", "names")
 
 
-@query("d9_oldest_by_checksum", f"WITH {X.RAW_FILES} SELECT asset_id, checksum FROM raw_files WHERE asset_id % 10 <> 0 QUALIFY row_number() OVER (PARTITION BY checksum ORDER BY asset_id) = 1")
+@query(
+    "d9_oldest_by_checksum",
+    f"""WITH {X.RAW_FILES}, m AS (SELECT checksum, min(asset_id) AS m1 FROM raw_files GROUP BY checksum),
+    n AS (SELECT checksum, min(asset_id) AS m2 FROM raw_files JOIN m USING (checksum) WHERE asset_id > m1 GROUP BY checksum)
+    SELECT asset_id, CASE WHEN asset_id = m1 THEN m2 ELSE m1 END AS oldest_other FROM raw_files JOIN m USING (checksum) LEFT JOIN n USING (checksum)""",
+)
 def oldest_by_checksum(spark, d):
-    return X.raw_files(spark, d).where("asset_id % 10 <> 0").groupBy("checksum").agg(F.min("asset_id").alias("asset_id")).select("asset_id", "checksum")
+    """The oldest other file with the same bytes, for each file."""
+    files = X.raw_files(spark, d).select("asset_id", "checksum")
+    first = files.groupBy("checksum").agg(F.min("asset_id").alias("m1"))
+    second = files.join(first, "checksum").where("asset_id > m1").groupBy("checksum").agg(F.min("asset_id").alias("m2"))
+    other = F.when(F.col("asset_id") == F.col("m1"), F.col("m2")).otherwise(F.col("m1"))
+    return files.join(first, "checksum").join(second, "checksum", "left").select("asset_id", other.alias("oldest_other"))
 
 
 @query("d10_duplicate_assertion", f"WITH {X.RAW_FILES} SELECT count(*)::BIGINT AS violations FROM (SELECT checksum FROM raw_files GROUP BY checksum HAVING count(*) > 1)")

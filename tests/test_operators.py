@@ -1,6 +1,7 @@
 """Small fixtures for operators whose edge cases the driver's tables don't have."""
 
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -191,3 +192,18 @@ def test_tree_deltas(spark):
     changes = spark.createDataFrame([("a/b/x", "create", 5), ("a/b/y", "create", 2), ("a/b/x", "delete", 5), ("a/z", "create", 1)], "p string, kind string, n int")
     got = M.tree_deltas(changes, "p", F.col("kind"), F.col("n"))
     assert sorted(map(tuple, got.collect())) == [("a", 2, 3), ("a/b", 1, 2)]
+
+
+def test_mcnemar_of_many_cases(spark):
+    cases = [(0, 0), (0, 5), (5, 0), (1, 9), (3, 3), (600, 600), (600, 480), (2000, 1900), (537, 538)]
+    rows = spark.createDataFrame(cases, "b long, c long").select("b", "c", S.mcnemar(F.col("b"), F.col("c")).alias("p")).collect()
+    for r in rows:
+        n = r.b + r.c
+        exact = min(1.0, 2 * sum(math.comb(n, i) for i in range(min(r.b, r.c) + 1)) / 2**n) if n else 1.0
+        assert math.isclose(r.p, exact, rel_tol=1e-9)
+
+
+def test_numbers_of_one_large_source(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") < 4800, "a").otherwise("b").alias("source"), ((F.col("id") * 7919) % 5000).alias("id"))
+    got = [(r.source, r.id, r.k) for r in D.numbered(rows, ["source", "id"], "k").collect()]
+    assert [k for *_, k in sorted(got)] == list(range(1, 5001))

@@ -43,9 +43,11 @@ from millrace.llm.text import SHINGLE, THRESHOLD_PERCENT, as_bytes, mix, prefix_
 QUICK_ORDERS = 6
 PREFIX_ORDERS = 3
 STAR_ROUNDS, STARS, NEAREST = 2, 64, 4
-BITMAP_BITS = 512
+BITMAP_BITS = 2048
 #: Sets in one block of a shingle that many sets share, about.
-BLOCK_SETS = 512
+BLOCK_SETS = 4096
+#: Entries, of about 300 bytes, in a group of small shingles; pairs that meet in one several times are one row.
+GROUP_ENTRIES = 100_000
 #: Pairs whose bitmaps are compared at once.
 _PAIRS = 1 << 16
 _U = np.uint64
@@ -337,7 +339,7 @@ def close_pairs(group: np.ndarray, part: np.ndarray, mixed: np.ndarray, ids: np.
     return np.concatenate(found, axis=1)
 
 
-def _candidates(entries: DataFrame, bits: DataFrame, partitions: int, percent: int) -> DataFrame:
+def _candidates(entries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that share a prefix shingle of the first order.
 
     ``entries`` has component; sets that share none under some order are left out. Sets of a shingle are dealt into blocks of about BLOCK_SETS,
@@ -350,10 +352,11 @@ def _candidates(entries: DataFrame, bits: DataFrame, partitions: int, percent: i
     # one bit for each order
     every = (1 << PREFIX_ORDERS) - 1
     met = open_rows.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, kind)")).alias("orders")).where(F.col("orders") == every).select("id")
+    groups = 8 + open_rows.where("kind = 0").count() // GROUP_ENTRIES
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     dealt = open_rows.where("kind = 0").join(bits.join(met, "id", "left_semi"), "id").withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     single = F.col("blocks") == 1
-    spread = F.when(single, F.pmod(F.xxhash64("token"), F.lit(4 * partitions))).otherwise(F.xxhash64("token"))
+    spread = F.when(single, F.pmod(F.xxhash64("token"), F.lit(groups))).otherwise(F.xxhash64("token"))
     dealt = dealt.select("token", "id", "n", "component", "own", "bitmap", single.alias("single"), spread.alias("grp"), F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
 
     def compare(table: pa.Table) -> pa.Table:
@@ -389,7 +392,7 @@ def _rows(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -
     for _ in range(STAR_ROUNDS):
         links = written(links.unionAll(verified(_stars(labelled(entries), bits, percent), near, percent)), "stars")
         found = components(links)
-    candidates = written(_candidates(labelled(entries), bits, partitions, percent), "pairs")
+    candidates = written(_candidates(labelled(entries), bits, percent), "pairs")
     final = components(links.unionAll(verified(candidates, near, percent, range(1, PREFIX_ORDERS))))
     of_class = classes.join(final, "node", "left").select("h1", "h2", F.col("n").alias("m"), F.coalesce("component", "node").alias("component"), "least")
     smallest = of_class.groupBy("component").agg(F.min("least").alias("least"))

@@ -239,30 +239,6 @@ def _quick_pairs(sets: DataFrame) -> DataFrame:
     return rows.join(least, ["kind", "token"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
 
 
-def close_pairs(group: np.ndarray, part: np.ndarray, mixed: np.ndarray, ids: np.ndarray, n: np.ndarray, component: np.ndarray, maps: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs (i, j) of rows of one group, of different components, that sizes and parity bitmaps don't rule out.
-
-    ``group`` is sorted. Where ``mixed``, only pairs of different parts are looked at.
-    """
-    found = [np.zeros((2, 0), dtype=np.int64)]
-    for d in range(1, len(group)):
-        left = np.flatnonzero(group[d:] == group[:-d])
-        if not len(left):
-            break
-        left = left[(component[left] != component[left + d]) & ~(mixed[left] & (part[left] == part[left + d]))]
-        for at in range(0, len(left), _PAIRS):
-            x = left[at : at + _PAIRS]
-            y = x + d
-            apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int64)
-            apart = np.maximum(apart, np.abs(n[x] - n[y]))
-            total = n[x] + n[y]
-            # intersection <= (total - apart) / 2 and union >= (total + apart) / 2
-            may = 100 * (total - apart) >= percent * (total + apart)
-            x, y = x[may], y[may]
-            found.append(np.where(ids[x] < ids[y], np.stack([x, y]), np.stack([y, x])))
-    return np.concatenate(found, axis=1)
-
-
 def _open_entries(sets: DataFrame, percent: int) -> DataFrame:
     """(kind, token, id) of the prefix shingles that several components share, under each order."""
 

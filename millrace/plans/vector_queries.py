@@ -78,7 +78,7 @@ def hybrid_rrf(spark, d):
     return fused.select("vec_id", F.round(rrf(F.col("r1")) + rrf(F.col("r2")), 6).alias("score"))
 
 
-def _means(frame, keys, vec="vec"):
+def means(frame, keys, vec="vec"):
     """Mean vector of each key: positions are averaged apart, so no list of vectors is gathered."""
     parts = frame.select(*keys, F.posexplode(vec).alias("pos", "x")).groupBy(*keys, "pos").agg(F.avg("x").alias("x"))
     return parts.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda p: p["x"]).alias("mean"))
@@ -90,7 +90,7 @@ _MEANS = "m AS (SELECT k, list(x ORDER BY pos) AS mean FROM (SELECT k, pos, avg(
 @query("v9_frame_pool", f"WITH src AS (SELECT vec_id % 50 AS k, embedding::DOUBLE[] AS v FROM embeddings), {_MEANS} SELECT k AS asset_id, round(mean[1] / sqrt(list_inner_product(mean, mean)), 6) AS x0, round(mean[64] / sqrt(list_inner_product(mean, mean)), 6) AS x63 FROM m")
 def frame_pool(spark, d):
     emb = table(spark, d, "embeddings").select((F.col("vec_id") % 50).alias("asset_id"), F.col("embedding").alias("vec"))
-    pooled = _means(emb, ["asset_id"]).select("asset_id", unit(F.col("mean")).alias("u"))
+    pooled = means(emb, ["asset_id"]).select("asset_id", unit(F.col("mean")).alias("u"))
     return pooled.select("asset_id", F.round(F.element_at("u", 1), 6).alias("x0"), F.round(F.element_at("u", 64), 6).alias("x63"))
 
 
@@ -107,7 +107,7 @@ _CENTROIDS = f"src AS (SELECT label AS k, list_transform(embedding::DOUBLE[], la
 
 def _centroids(spark, d):
     emb = table(spark, d, "embeddings").select("label", unit(F.col("embedding")).alias("vec"))
-    return _means(emb, ["label"])
+    return means(emb, ["label"])
 
 
 @query("v11_class_centroids", f"WITH {_CENTROIDS} SELECT a.k AS a, b.k AS b, round(list_cosine_similarity(a.mean, b.mean), 6) AS cos FROM m a JOIN m b ON a.k < b.k")
@@ -132,34 +132,34 @@ def group_min_distance(spark, d):
     )
 
 
-_PAIRS = f"{X.FRAMES}, pairs AS (SELECT vec_id, gt, grp, gidx, cls, version, list_cosine_similarity(f.vec, b.vec) AS cos FROM frames f, bank b)"
-_BEST = f"{_PAIRS}, best AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cos DESC, gidx) AS rank FROM pairs)"
+PAIRS = f"{X.FRAMES}, pairs AS (SELECT vec_id, gt, grp, gidx, cls, version, list_cosine_similarity(f.vec, b.vec) AS cos FROM frames f, bank b)"
+BEST = f"{PAIRS}, best AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cos DESC, gidx) AS rank FROM pairs)"
 
 
 def _best(spark, d, k, per_class=False):
     return B.best_sentences(X.frames(spark, d), X.bank(spark, d), k, per_class)
 
 
-@query("b2_best_per_class", f"WITH {_PAIRS} SELECT vec_id, cls, arg_min(gidx, (-cos, gidx)) AS gidx, round(max(cos), 6) AS cos FROM pairs GROUP BY vec_id, cls")
+@query("b2_best_per_class", f"WITH {PAIRS} SELECT vec_id, cls, arg_min(gidx, (-cos, gidx)) AS gidx, round(max(cos), 6) AS cos FROM pairs GROUP BY vec_id, cls")
 def best_per_class(spark, d):
     return _best(spark, d, 1, True).select("vec_id", "cls", "gidx", F.round("cos", 6).alias("cos"))
 
 
-@query("b3_top2_per_class", f"WITH {_PAIRS} SELECT vec_id, cls, gidx, row_number() OVER (PARTITION BY vec_id, cls ORDER BY cos DESC, gidx) AS rank FROM pairs QUALIFY rank <= 2")
+@query("b3_top2_per_class", f"WITH {PAIRS} SELECT vec_id, cls, gidx, row_number() OVER (PARTITION BY vec_id, cls ORDER BY cos DESC, gidx) AS rank FROM pairs QUALIFY rank <= 2")
 def top2_per_class(spark, d):
     return _best(spark, d, 2, True).select("vec_id", "cls", "gidx", "rank")
 
 
 @query(
     "b5_majority_vote",
-    f"""WITH {_BEST}, v AS (SELECT vec_id, cls, count(*) AS votes, max(cos) AS top FROM best WHERE rank <= 7 GROUP BY ALL), o AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY votes DESC, top DESC, cls) AS k FROM v)
+    f"""WITH {BEST}, v AS (SELECT vec_id, cls, count(*) AS votes, max(cos) AS top FROM best WHERE rank <= 7 GROUP BY ALL), o AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY votes DESC, top DESC, cls) AS k FROM v)
     SELECT vec_id, max(cls) FILTER (k = 1) AS pred, max(votes) FILTER (k = 1)::BIGINT AS votes, round((max(votes) FILTER (k = 1) - coalesce(max(votes) FILTER (k = 2), 0)) / 7, 6) AS margin FROM o GROUP BY vec_id""",
 )
 def majority_vote(spark, d):
     return B.majority_vote(_best(spark, d, 7), 7).select("vec_id", "pred", "votes", F.round("margin", 6).alias("margin"))
 
 
-@query("b7_recalls", f"WITH {_BEST} SELECT gt, count(*)::BIGINT AS n, round(avg((cls = gt)::INT), 6) AS recall FROM best WHERE rank = 1 GROUP BY gt")
+@query("b7_recalls", f"WITH {BEST} SELECT gt, count(*)::BIGINT AS n, round(avg((cls = gt)::INT), 6) AS recall FROM best WHERE rank = 1 GROUP BY gt")
 def recalls(spark, d):
     predicted = B.predictions(_best(spark, d, 1))
     return predicted.groupBy("gt").agg(F.count("*").alias("n"), F.round(F.avg((F.col("gt") == F.col("pred")).cast("int")), 6).alias("recall"))
@@ -167,7 +167,7 @@ def recalls(spark, d):
 
 @query(
     "b8_class_report",
-    f"""WITH {_BEST}, p AS (SELECT gt, cls AS pred FROM best WHERE rank = 1), c AS (SELECT DISTINCT gt AS cls FROM p UNION SELECT DISTINCT pred FROM p)
+    f"""WITH {BEST}, p AS (SELECT gt, cls AS pred FROM best WHERE rank = 1), c AS (SELECT DISTINCT gt AS cls FROM p UNION SELECT DISTINCT pred FROM p)
     SELECT cls, count(*) FILTER (gt = cls AND pred = cls)::BIGINT AS tp, count(*) FILTER (gt <> cls AND pred = cls)::BIGINT AS fp, count(*) FILTER (gt = cls AND pred <> cls)::BIGINT AS fn FROM c, p GROUP BY cls""",
 )
 def class_report(spark, d):
@@ -176,14 +176,14 @@ def class_report(spark, d):
 
 @query(
     "b9_reach",
-    f"""WITH {_PAIRS}, c AS (SELECT vec_id, cls, max(cos) AS cos, arg_min(gidx, (-cos, gidx)) AS gidx FROM pairs GROUP BY ALL), l AS (SELECT a.gidx, a.cos - max(b.cos) AS lead FROM c a JOIN c b ON a.vec_id = b.vec_id AND a.cls <> b.cls GROUP BY a.vec_id, a.gidx, a.cos)
+    f"""WITH {PAIRS}, c AS (SELECT vec_id, cls, max(cos) AS cos, arg_min(gidx, (-cos, gidx)) AS gidx FROM pairs GROUP BY ALL), l AS (SELECT a.gidx, a.cos - max(b.cos) AS lead FROM c a JOIN c b ON a.vec_id = b.vec_id AND a.cls <> b.cls GROUP BY a.vec_id, a.gidx, a.cos)
     SELECT gidx, round(max(lead), 6) AS reach FROM l GROUP BY gidx""",
 )
 def sentence_reach(spark, d):
     return B.reach(_best(spark, d, 1, True)).select("gidx", F.round("reach", 6).alias("reach"))
 
 
-_LOO = f"""{_BEST}, w AS (SELECT a.vec_id, a.gt, a.grp, a.gidx, a.cls AS c1, b.cls AS c2 FROM best a LEFT JOIN best b ON a.vec_id = b.vec_id AND b.rank = 2 WHERE a.rank = 1)"""
+_LOO = f"""{BEST}, w AS (SELECT a.vec_id, a.gt, a.grp, a.gidx, a.cls AS c1, b.cls AS c2 FROM best a LEFT JOIN best b ON a.vec_id = b.vec_id AND b.rank = 2 WHERE a.rank = 1)"""
 
 
 @query("b10_loo_gains", f"WITH {_LOO} SELECT gidx, count(*)::BIGINT AS wins, sum((c2 = gt)::INT - (c1 = gt)::INT)::BIGINT AS gain FROM w GROUP BY gidx")
@@ -232,7 +232,7 @@ def deletion_score(spark, d):
     return B.deletion_score(_best(spark, d, 1), F.col("gt") == 0).select("gidx", "cls", F.round("score", 6).alias("score"))
 
 
-@query("b23_nearest_frame", f"WITH {_PAIRS} SELECT gidx, arg_min(vec_id, (-cos, vec_id)) AS frame, round(max(cos), 6) AS cos FROM pairs GROUP BY gidx")
+@query("b23_nearest_frame", f"WITH {PAIRS} SELECT gidx, arg_min(vec_id, (-cos, vec_id)) AS frame, round(max(cos), 6) AS cos FROM pairs GROUP BY gidx")
 def nearest_frame(spark, d):
     # the roles are swapped: each sentence's best frame
     bank = X.bank(spark, d).select(F.col("gidx").alias("vec_id"), F.col("cls").alias("gt"), F.lit(0).cast("long").alias("grp"), "vec")
@@ -240,7 +240,7 @@ def nearest_frame(spark, d):
     return B.best_sentences(bank, frames, 1).select(F.col("vec_id").alias("gidx"), F.col("gidx").alias("frame"), F.round("cos", 6).alias("cos"))
 
 
-_VERSIONS = f"{_PAIRS}, pv AS (SELECT vec_id, gt, version, arg_min(cls, (-cos, gidx)) AS pred FROM pairs GROUP BY ALL), ab AS (SELECT a.vec_id, a.gt, a.pred AS pa, b.pred AS pb FROM pv a JOIN pv b ON a.vec_id = b.vec_id AND a.version = 'A' AND b.version = 'B')"
+_VERSIONS = f"{PAIRS}, pv AS (SELECT vec_id, gt, version, arg_min(cls, (-cos, gidx)) AS pred FROM pairs GROUP BY ALL), ab AS (SELECT a.vec_id, a.gt, a.pred AS pa, b.pred AS pb FROM pv a JOIN pv b ON a.vec_id = b.vec_id AND a.version = 'A' AND b.version = 'B')"
 
 
 def _versions(spark, d):
@@ -256,14 +256,14 @@ def version_flips(spark, d):
     return _versions(spark, d).groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
 
 
-@query("b27_confusion", f"WITH {_BEST} SELECT gt, cls AS pred, count(*)::BIGINT AS n FROM best WHERE rank = 1 GROUP BY ALL")
+@query("b27_confusion", f"WITH {BEST} SELECT gt, cls AS pred, count(*)::BIGINT AS n FROM best WHERE rank = 1 GROUP BY ALL")
 def confusion(spark, d):
     return B.predictions(_best(spark, d, 1)).groupBy("gt", "pred").agg(F.count("*").alias("n"))
 
 
 @query(
     "b26_asset_scores",
-    f"""WITH {_PAIRS}, r AS (SELECT vec_id % 50 AS asset, cls, cos, row_number() OVER (PARTITION BY vec_id % 50, cls ORDER BY cos DESC, gidx, vec_id) AS k FROM pairs)
+    f"""WITH {PAIRS}, r AS (SELECT vec_id % 50 AS asset, cls, cos, row_number() OVER (PARTITION BY vec_id % 50, cls ORDER BY cos DESC, gidx, vec_id) AS k FROM pairs)
     SELECT asset, cls, round(max(cos), 6) AS best, round(avg(cos) FILTER (k <= 10), 6) AS top10 FROM r GROUP BY asset, cls""",
 )
 def asset_scores(spark, d):
@@ -275,7 +275,7 @@ def asset_scores(spark, d):
 
 @query(
     "b32_low_confidence_tail",
-    f"WITH {_BEST}, w AS (SELECT vec_id, cos FROM best WHERE rank = 1), t AS (SELECT quantile_cont(cos, 0.1) AS bar FROM w) SELECT vec_id, round(cos, 6) AS cos FROM w, t WHERE cos <= bar",
+    f"WITH {BEST}, w AS (SELECT vec_id, cos FROM best WHERE rank = 1), t AS (SELECT quantile_cont(cos, 0.1) AS bar FROM w) SELECT vec_id, round(cos, 6) AS cos FROM w, t WHERE cos <= bar",
 )
 def low_confidence_tail(spark, d):
     won = B.predictions(_best(spark, d, 1))
@@ -302,7 +302,7 @@ def slice_ranking(spark, d):
 
 @query(
     "m16_label_suspects",
-    f"""WITH {_BEST}, k AS (SELECT vec_id, gt, avg((cls <> gt)::INT) AS disagree, max((cls = gt)::INT) AS any_same FROM best WHERE rank <= 10 GROUP BY ALL)
+    f"""WITH {BEST}, k AS (SELECT vec_id, gt, avg((cls <> gt)::INT) AS disagree, max((cls = gt)::INT) AS any_same FROM best WHERE rank <= 10 GROUP BY ALL)
     SELECT vec_id, round(least(1.0, 0.6 * disagree + 0.4 * (1 - any_same)), 6) AS suspicion FROM k ORDER BY round(least(1.0, 0.6 * disagree + 0.4 * (1 - any_same)), 6) DESC, vec_id LIMIT 200""",
 )
 def label_suspects(spark, d):
@@ -313,7 +313,7 @@ def label_suspects(spark, d):
 
 @query(
     "m10_recall_at_k",
-    f"WITH {_BEST}, h AS (SELECT vec_id, max((cls = gt AND rank <= 1)::INT) AS h1, max((cls = gt AND rank <= 3)::INT) AS h3 FROM best GROUP BY vec_id) SELECT round(avg(h1), 6) AS recall1, round(avg(h3), 6) AS recall3 FROM h",
+    f"WITH {BEST}, h AS (SELECT vec_id, max((cls = gt AND rank <= 1)::INT) AS h1, max((cls = gt AND rank <= 3)::INT) AS h3 FROM best GROUP BY vec_id) SELECT round(avg(h1), 6) AS recall1, round(avg(h3), 6) AS recall3 FROM h",
 )
 def recall_at_k(spark, d):
     hit = lambda k: F.max(((F.col("cls") == F.col("gt")) & (F.col("rank") <= k)).cast("int"))

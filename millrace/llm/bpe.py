@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import as_bytes
+from millrace.llm.text import as_bytes, release
 
 #: Pieces in a worker's table; when it is full, it becomes the older table and a new one begins.
 MEMO = 300_000
@@ -182,5 +182,7 @@ def round_trip(docs: DataFrame, vocabulary: str, *, doc_id: str = "doc_id", text
                 coded.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(tokenizer.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=[doc_id, "n_tokens", "ids_sha256", "decoded_sha256"])
+        tokenizer.memo.older = {}
+        release()
 
     return docs.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(run, f"{doc_id} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.text import release
+
 CHUNK_BYTES = 4 << 20
 #: Bytes of hashes that one bucket receives, about.
 BUCKET_BYTES = 32 << 20
@@ -116,6 +118,7 @@ def key_counts(rows: DataFrame, keys_of, buckets: int) -> DataFrame:
     """
 
     def send(table: pa.Table) -> pa.Table:
+        release()
         _, keys = keys_of(table)
         found, counts = np.unique(keys, return_counts=True)
         bucket = bucket_of(found, buckets)
@@ -131,6 +134,7 @@ def key_counts(rows: DataFrame, keys_of, buckets: int) -> DataFrame:
         )
 
     def add(table: pa.Table) -> pa.Table:
+        release()
         keys, sizes = unpack(table.column("keys"), np.uint32)
         own, _ = unpack(table.column("own"), np.uint16)
         order = np.argsort(keys, kind="stable")

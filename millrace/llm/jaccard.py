@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from millrace.llm.chunks import BUCKET_BYTES, CHUNK_BYTES, chunked, counts_of, in_order, key_counts
 from millrace.llm.components import components
 from millrace.llm.shared import result, written
-from millrace.llm.text import SHINGLE, THRESHOLD_PERCENT, as_bytes, mix, prefix_size, shingles
+from millrace.llm.text import SHINGLE, THRESHOLD_PERCENT, as_bytes, mix, prefix_size, release, shingles
 
 QUICK_ORDERS = 6
 PREFIX_ORDERS = 3
@@ -113,6 +113,7 @@ def _text_sets(rows: DataFrame, buckets: int, shingle: int, percent: int) -> Dat
     schema = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("tokens", pa.binary())])
 
     def keep(table: pa.Table, said: pa.Table) -> pa.Table:
+        release()
         if not table.num_rows:
             return schema.empty_table()
         parsed = parse(table)
@@ -150,6 +151,7 @@ def _mostly_shared(sets: DataFrame, chunks: int, buckets: int, percent: int) ->
     counts = key_counts(rows, keys_of, buckets)
 
     def keep(table: pa.Table, said: pa.Table) -> pa.Table:
+        release()
         row, keys = keys_of(table)
         rarity = counts_of(keys, said, buckets)
         n = table.column("n").to_numpy()

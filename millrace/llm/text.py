@@ -7,6 +7,7 @@ one with a probability of about 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,22 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library than glibc
+    _trim = None
+
+
+def release() -> None:
+    """Give the system back what earlier groups or tasks of this Python worker have freed.
+
+    Workers live on between tasks, and neither Arrow's pool nor malloc returns memory by itself.
+    """
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The data and the n + 1 offsets of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

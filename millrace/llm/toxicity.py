@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import as_bytes
+from millrace.llm.text import as_bytes, release
 
 TRAIN_ROWS = 1500
 CALIBRATION_FOLDS = 3
@@ -228,6 +228,8 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
         sample = sorted(row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
         model = fit([t for y, t in sample if y], [t for y, t in sample if not y], n_toxic, n_ordinary)
         yield pa.RecordBatch.from_arrays([pa.array([model.ordinary], pa.binary()), pa.array([model.toxic], pa.binary()), pa.array([model.weights.tolist()], pa.list_(pa.float64()))], names=["ordinary", "toxic", "weights"])
+        del sample, model
+        release()
 
     # the bounded sample is learnt from in one task; the driver gets the dictionaries and weights
     model = rows.repartition(1).mapInArrow(learn, "ordinary binary, toxic binary, weights array<double>").first()
@@ -266,6 +268,7 @@ def scores(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str =
         for batch in batches:
             s = score(batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))], names=[doc_id, "held_out", "score", "predicted"])
+        release()
 
     return read.mapInArrow(run, f"{doc_id} {kind}, held_out boolean, score double, predicted int")
 
@@ -278,5 +281,6 @@ def without_toxic(docs: DataFrame, model: Model, *, text: str = "text") -> DataF
         score = _scorer(shared)
         for batch in batches:
             yield batch.filter(pa.array(score(batch.column(batch.schema.get_field_index(text))) < 0.5))
+        release()
 
     return docs.mapInArrow(run, docs.schema)

@@ -141,3 +141,50 @@ def grouped_split(frame: DataFrame, key: str, seed: str, ratios: tuple[float, fl
     test = F.greatest(n - F.floor(n * ratios[0]) - F.floor(n * ratios[1]), F.when(n >= 3, 1).otherwise(0))
     split = F.when(F.col("_k") <= n - val - test, "train").when(F.col("_k") <= n - test, "val").otherwise("test")
     return ranked.crossJoin(F.broadcast(total)).select(key, split.alias("split"))
+
+
+def global_greedy_matches(pairs: DataFrame, group: list[str]) -> DataFrame:
+    """(group, pred, truth, iou): pairs of a group by falling IoU above 0, then pred and truth; each box is used once.
+
+    ``pairs`` has pred, truth and iou. A group is one image's boxes; pairs that don't overlap never reach it.
+    """
+    pair = F.struct((-F.col("iou")).alias("i"), F.col("pred").cast("long").alias("pred"), F.col("truth").cast("long").alias("truth"), "iou")
+    state = "array<struct<pred:long,truth:long,iou:double>>"
+
+    def step(found, p):
+        used = F.exists(found, lambda m: (m["pred"] == p["pred"]) | (m["truth"] == p["truth"]))
+        return F.when(used, found).otherwise(F.array_append(found, F.struct(p["pred"].alias("pred"), p["truth"].alias("truth"), p["iou"].alias("iou")).cast(state[6:-1])))
+
+    ordered = F.array_sort(F.collect_list(pair))
+    folded = pairs.where("iou > 0").groupBy(*group).agg(F.aggregate(ordered, F.array().cast(state), step).alias("found"))
+    return folded.select(*group, F.inline("found"))
+
+
+def detections_of(answer: Column) -> Column:
+    """Array of class, bbox and confidence from a segmentation server's JSON list.
+
+    An entry has prompt_class, mask_bbox (four corners) and score. Entries without a class or
+    with fewer than four numbers are dropped; the class is trimmed and lower-cased; null answers give null.
+    """
+    entries = F.from_json(answer, "array<struct<prompt_class:string,mask_bbox:array<double>,score:double>>")
+    label = lambda e: F.lower(F.trim(e["prompt_class"]))
+    kept = F.filter(entries, lambda e: (F.coalesce(label(e), F.lit("")) != "") & (F.coalesce(F.size(e["mask_bbox"]), F.lit(0)) >= 4))
+    return F.transform(kept, lambda e: F.struct(label(e).alias("class"), F.slice(e["mask_bbox"], 1, 4).alias("bbox"), e["score"].alias("confidence")))
+
+
+def legacy_header(payload: Column, image: Column, clip: Column, *, model: str, confidence: float, iou: float, source: str) -> Column:
+    """Struct of an older payload's header: image_id, source_clip_id, model, both thresholds, class_source.
+
+    A missing or blank image id is the row's own; a missing clip is the row's, a blank one null;
+    missing models, thresholds and sources take the defaults.
+    """
+    text = lambda name: F.trim(F.get_json_object(payload, f"$.{name}"))
+    number = lambda name, other: F.coalesce(text(name).try_cast("double"), F.lit(other))
+    return F.struct(
+        F.coalesce(F.nullif(text("image_id"), F.lit("")), image).alias("image_id"),
+        F.nullif(F.coalesce(text("source_clip_id"), clip), F.lit("")).alias("source_clip_id"),
+        F.coalesce(F.nullif(text("model"), F.lit("")), F.lit(model)).alias("model"),
+        number("confidence_threshold", confidence).alias("confidence_threshold"),
+        number("iou_threshold", iou).alias("iou_threshold"),
+        F.coalesce(F.nullif(text("class_source"), F.lit("")), F.lit(source)).alias("class_source"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Query modules; each has QUERIES (name -> callable) and ORACLES (name -> SQL).
-MODULES = ("vector_queries", "relational_queries", "scalar_queries", "interval_queries", "quality_queries", "workflow_queries", "analysis_queries")
+MODULES = ("vector_queries", "relational_queries", "scalar_queries", "interval_queries", "quality_queries", "workflow_queries", "analysis_queries", "evaluation_queries")
 
 
 def _merged(attribute: str) -> dict:

@@ -10,6 +10,7 @@ from millrace.functions import scalars as S
 from millrace.operators import detection as D
 from millrace.operators import intervals as I
 from millrace.operators import relational as R
+from millrace.operators import sampling as P
 from millrace.operators.filters import apply_filters, ids_of
 from millrace.operators.phash import nearest_groups, similar
 from millrace.operators.review import transition
@@ -207,3 +208,57 @@ def test_numbers_of_one_large_source(spark):
     rows = spark.range(5000).select(F.when(F.col("id") < 4800, "a").otherwise("b").alias("source"), ((F.col("id") * 7919) % 5000).alias("id"))
     got = [(r.source, r.id, r.k) for r in D.numbered(rows, ["source", "id"], "k").collect()]
     assert [k for *_, k in sorted(got)] == list(range(1, 5001))
+
+
+def test_global_greedy_takes_the_best_pair_first(spark):
+    rows = [(1, 1, 1, 0.6), (1, 1, 2, 0.9), (1, 2, 2, 0.95), (1, 2, 1, 0.1), (1, 3, 3, 0.0), (2, 1, 1, 0.5), (2, 2, 1, 0.5)]
+    pairs = spark.createDataFrame(rows, "image int, pred int, truth int, iou double")
+    assert sorted(map(tuple, D.global_greedy_matches(pairs, ["image"]).collect())) == [(1, 1, 1, 0.6), (1, 2, 2, 0.95), (2, 1, 1, 0.5)]
+    assert D.global_greedy_matches(pairs.limit(0), ["image"]).count() == 0
+
+
+def test_server_detections_of_odd_answers(spark):
+    answers = [(1, None), (2, "no json"), (3, "[]"), (4, '[{"mask_bbox":[1,2,3,4]},{"prompt_class":"A"},{"prompt_class":" B ","mask_bbox":[1,2,3,4]}]')]
+    got = spark.createDataFrame(answers, "id int, answer string").select("id", D.detections_of(F.col("answer")).alias("d")).orderBy("id").collect()
+    assert got[0]["d"] is None and not got[1]["d"] and got[2]["d"] == []
+    assert [tuple(e) for e in got[3]["d"]] == [("b", [1.0, 2.0, 3.0, 4.0], None)]
+
+
+def test_bootstrap_interval_holds_the_mean(spark):
+    rows = [("a", i % 4 == 0) for i in range(4000)] + [("b", True)] * 20 + [("c", None), ("c", False)]
+    got = {r["g"]: r for r in P.bootstrap_interval(spark.createDataFrame(rows, "g string, hit boolean"), "g", "hit", seed=3).collect()}
+    # 1.96 standard errors of a mean of 4,000
+    assert got["a"]["mean"] == 0.25 and abs(got["a"]["low"] - 0.2366) < 0.003 and abs(got["a"]["high"] - 0.2634) < 0.003
+    assert (got["b"]["low"], got["b"]["high"]) == (1.0, 1.0) and (got["c"]["n"], got["c"]["mean"], got["c"]["high"]) == (2, 0.0, 0.0)
+
+
+def test_silhouettes_of_odd_rows(spark):
+    rows = [(1, [1.0, 0.0], "a"), (2, [0.9, 0.1], "a"), (3, [0.0, 1.0], "b"), (4, None, "a"), (5, [0.0, 0.0], "b"), (6, [1.0, 1.0], None), (7, [None, 1.0], "b")]
+    frame = spark.createDataFrame(rows, "id int, v array<double>, c string")
+    got = {r["id"]: r["silhouette"] for r in P.silhouettes(frame, "id", "v", "c").collect()}
+    near = 1 - 0.9 / math.hypot(0.9, 0.1)
+    assert set(got) == {1, 2, 3} and got[3] == 0.0 and math.isclose(got[1], 1 - near, abs_tol=1e-12)
+    assert P.silhouettes(frame.where("c = 'a'"), "id", "v", "c").count() == 0
+
+
+def test_label_queue_keeps_a_share_of_the_others(spark):
+    rows = [(i, 0.9, 0.9, 0.9) for i in range(10)] + [(100 + i, 0.1, None, 0.1) for i in range(3)]
+    pool = spark.createDataFrame(rows, "id int, rare double, rep double, uniq double")
+    got = P.label_queue(pool, "id", n=6).orderBy("place").collect()
+    assert [r["id"] for r in got] == [0, 1, 2, 3, 100, 101] and [r["near"] for r in got] == [True] * 4 + [False] * 2
+    assert P.label_queue(pool, "id", n=50).count() == 13 and P.label_queue(pool.limit(0), "id", n=5).count() == 0
+
+
+def test_clusters_name_their_most_common_label(spark):
+    got = registry.queries()["v13_clusters"](spark, "/root/testdata/sf0.001").toPandas()
+    assert got["cluster"].nunique() <= 8 and got["vec_id"].is_unique
+    for _, rows in got.groupby("cluster"):
+        counts = rows["label"].value_counts()
+        assert rows["dominant"].nunique() == 1 and counts[rows["dominant"].iloc[0]] == counts.max()
+
+
+def test_event_quality_counts_every_event(spark):
+    folder = "/root/testdata/sf0.001"
+    row = registry.queries()["m6_event_quality"](spark, folder).first()
+    events = spark.read.parquet(f"{folder}/events.parquet").where("value > 0")
+    assert row["tp"] > 0 and row["tp"] + row["fp"] == events.where("event_id % 3 <> 0").count() and row["tp"] + row["fn"] == events.count()

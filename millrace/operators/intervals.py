@@ -46,7 +46,8 @@ def plan_chunks(duration: Column, window: int = 660, stride: int = 600) -> Colum
 def valid_events(events: Column) -> Column:
     """Events with 0 <= start < end, by start, then end."""
     kept = F.filter(events, lambda e: e["start"].isNotNull() & e["end"].isNotNull() & (e["start"] >= 0) & (e["end"] > e["start"]))
-    return F.array_sort(kept, lambda a, b: F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(F.signum(a["end"] - b["end"])).cast("int"))
+    order = lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).when(a["end"] < b["end"], -1).when(a["end"] > b["end"], 1).otherwise(0)
+    return F.array_sort(kept, order)
 
 
 def within_duration(events: Column, duration: Column) -> Column:

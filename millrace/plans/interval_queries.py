@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions import scalars as S
 from millrace.operators import intervals as I
 from millrace.plans import fixtures as X
 from millrace.sources.tables import table
@@ -46,8 +47,9 @@ def _events(spark, d):
     FROM spans WHERE start_sec >= 0 AND end_sec > start_sec GROUP BY 1, 2""",
 )
 def normalised_events(spark, d):
-    text = F.transform(I.valid_events(F.col("events")), lambda e: F.concat_ws(":", e["category"], F.format_string("%.3f", e["end"] - e["start"])))
-    return _events(spark, d).select("asset_id", "day", F.array_join(text, ",").alias("events"))
+    valid = _events(spark, d).withColumn("events", I.valid_events(F.col("events"))).where(F.size("events") > 0)
+    text = F.transform(F.filter("events", lambda e: e["category"].isNotNull()), lambda e: F.concat(e["category"], F.lit(":"), S.thousandths(e["end"] - e["start"])))
+    return valid.select("asset_id", "day", F.when(F.size(text) > 0, F.array_join(text, ",")).alias("events"))
 
 
 @query(

@@ -3,6 +3,7 @@
 import json
 import math
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,3 +263,29 @@ def test_event_quality_counts_every_event(spark):
     row = registry.queries()["m6_event_quality"](spark, folder).first()
     events = spark.read.parquet(f"{folder}/events.parquet").where("value > 0")
     assert row["tp"] > 0 and row["tp"] + row["fp"] == events.where("event_id % 3 <> 0").count() and row["tp"] + row["fn"] == events.count()
+
+
+def test_thousandths_round_the_binary_value(spark):
+    values = [0.0, 0.0625, 0.1875, 1.0005, 2.0005, 0.9995, 999.9996, 12345.678, 2.0**49 + 0.0625, math.inf, math.nan, *((2 * i + 1) / 2000 for i in range(500))]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", S.thousandths(F.col("v")).alias("t")).collect()
+    assert [r.t for r in rows] == [f"{r.v:.3f}" for r in rows]
+
+
+def _event_table(spark, folder, rows):
+    """Rows of (event_id, seconds since the first day, user_id, event_type, value) as an events table."""
+    made = spark.createDataFrame(rows, "event_id long, s double, user_id long, event_type string, value double")
+    moment = F.timestamp_micros((F.lit(1704067200.0) + F.col("s")).cast("long") * 1000000).cast("timestamp_ntz")
+    made.select("event_id", moment.alias("ts"), "user_id", "event_type", "value", F.lit("{}").alias("props")).write.parquet(f"{folder}/events.parquet")
+    con = duckdb.connect()
+    con.sql("SET timezone = 'UTC'")
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    return con
+
+
+def test_days_without_a_sound_event_have_no_row(spark, tmp_path):
+    rows = [(1, 10.0, 1, "view", 0.0), (2, 90000.0, 1, "view", 2.5), (3, 20.0, 2, "click", 0.0001), (4, 30.0, 2, "click", 0.0), (5, 40.0, 3, None, 1.0), (6, 50.0, 4, None, 1.0), (7, 60.0, 4, "error", 0.0625 / 600)]
+    con = _event_table(spark, tmp_path, rows)
+    got = registry.queries()["e2_normalised_events"](spark, str(tmp_path)).select("asset_id", "day", "events").collect()
+    expected = con.sql(registry.oracle_sql()["e2_normalised_events"]).fetchall()
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+    assert (1, 0) not in {(r.asset_id, r.day) for r in got} and len(got) == 4

@@ -97,16 +97,60 @@ def greedy_matches(pairs: DataFrame, group: list[str], threshold: float) -> Data
     return folded.select(*group, F.inline("found"))
 
 
-def average_precision(ranked: DataFrame, category: str) -> DataFrame:
-    """(category, ap): all-point AP over rows of category, ord (rank by score), hit and n_gt.
+def _true_of(conditions: list[Column]) -> Column:
+    """How many of the conditions hold, of which none does after one that doesn't; by bisection."""
 
+    def pick(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high + 1) // 2
+        return F.when(conditions[middle - 1], pick(middle, high)).otherwise(pick(low, middle - 1))
+
+    return pick(0, len(conditions))
+
+
+def average_precision(scored: DataFrame, category: str, score: str, tie: str, n_gt: str | None = None, blocks: int = 64) -> DataFrame:
+    """(category, ap): all-point AP over rows of category, hit, score and tie; n_gt (of a category) is its row count without such a column.
+
+    Rows rank by falling score, null scores last, then by ``tie``, a number without nulls that tells rows of one score apart.
     Precision is made monotone from the right; AP is its sum over the hits, over n_gt.
+
+    Rows are dealt to blocks in the order of ranks: ranges of the score and, for scores so common that they fill a
+    range, ranges of ``tie``. What is before and behind a block comes from one row for each, so no task holds a category;
+    the bounds are approximate and decide the sizes of blocks alone.
     """
-    window = Window.partitionBy(category).orderBy("ord")
-    tp = F.sum(F.col("hit").cast("int")).over(window)
-    curve = ranked.withColumn("_p", tp / F.row_number().over(window))
-    best = F.max("_p").over(window.rowsBetween(0, Window.unboundedFollowing))
-    return curve.withColumn("_best", best).groupBy(category).agg((F.sum(F.when(F.col("hit"), F.col("_best")).otherwise(0.0)) / F.max("n_gt")).alias("ap"))
+    total = F.col(n_gt) if n_gt else F.lit(None).cast("long")
+    rows = scored.select(F.col(category).alias("_k"), F.coalesce("hit", F.lit(False)).cast("int").alias("_hit"), F.col(score).cast("double").alias("_s"), F.col(tie).alias("_t"), total.alias("_g"))
+    cuts = [i / blocks for i in range(1, blocks)]
+    seen = rows.agg(F.percentile_approx(F.when(~F.isnan("_s"), F.col("_s")), cuts, 10_000).alias("s"), F.percentile_approx("_t", cuts, 10_000).alias("t")).first()
+    bounds, heavy, falling = seen["s"] or [], set(), []
+    for bound in sorted(set(bounds), reverse=True):
+        falling.append(F.col("_s") <= F.lit(bound))
+        if bounds.count(bound) > 1:
+            heavy.add(bound)
+            falling.append(F.col("_s") < F.lit(bound))
+    place = F.when(F.col("_s").isNull(), 2 * blocks).when(F.isnan("_s"), 0).otherwise(_true_of(falling) + 1)
+    common = F.col("_s").isNull() | F.isnan("_s") | F.col("_s").isin(*heavy)
+    within = F.when(common, _true_of([F.col("_t") > F.lit(t) for t in sorted(set(seen["t"] or []))])).otherwise(0)
+    dealt = rows.withColumn("_at", place * blocks + within)
+
+    kind = Window.partitionBy("_key")
+    up_to = kind.orderBy("_block")
+    keyed = lambda frame, *more: frame.groupBy(F.col("_k").alias("_key"), F.col("_at").alias("_block"), *more)
+    same = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_block"))
+    counts = keyed(dealt).agg(F.count("*").alias("_n"), F.sum("_hit").alias("_h"), F.max("_g").alias("_m"))
+    known = F.max("_m").over(kind) if n_gt else F.sum("_n").over(kind)
+    offsets = counts.select("_key", "_block", (F.sum("_n").over(up_to) - F.col("_n")).alias("_ranks"), (F.sum("_h").over(up_to) - F.col("_h")).alias("_hits"), known.alias("_total"))
+    block = Window.partitionBy("_k", "_at")
+    falls = block.orderBy(F.desc_nulls_last("_s"), "_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a frame that ends behind all rows is summed anew for each row; one that begins before them isn't
+    rises = block.orderBy(F.asc_nulls_first("_s"), F.desc("_t")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    curve = dealt.join(offsets, same).withColumn("_p", (F.col("_hits") + F.sum("_hit").over(falls)) / (F.col("_ranks") + F.row_number().over(falls)))
+    steps = curve.withColumn("_best", F.max("_p").over(rises)).groupBy("_k", "_at", "_best").agg(F.sum("_hit").alias("_n"), F.max("_total").alias("_total"))
+    behind = kind.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    later = keyed(steps).agg(F.max("_best").alias("_m")).select("_key", "_block", F.max("_m").over(behind).alias("_later"))
+    area = F.sum(F.col("_n") * F.greatest("_best", "_later"))
+    return steps.join(later, same).groupBy(F.col("_k").alias(category)).agg((area / F.max("_total")).alias("ap"))
 
 
 def quality(counts: DataFrame) -> DataFrame:

@@ -289,3 +289,31 @@ def test_days_without_a_sound_event_have_no_row(spark, tmp_path):
     expected = con.sql(registry.oracle_sql()["e2_normalised_events"]).fetchall()
     assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
     assert (1, 0) not in {(r.asset_id, r.day) for r in got} and len(got) == 4
+
+
+def _plain_ap(rows):
+    """All-point AP of (hit, score, tie) rows, one after another."""
+    odd = lambda s: (2, 0.0) if s is None else (0, 0.0) if math.isnan(s) else (1, -s)
+    ranked = [bool(hit) for hit, _, _ in sorted(rows, key=lambda r: (odd(r[1]), r[2]))]
+    precision = [sum(ranked[: i + 1]) / (i + 1) for i in range(len(ranked))]
+    return sum(max(precision[i:]) for i, hit in enumerate(ranked) if hit) / len(ranked)
+
+
+@pytest.mark.parametrize("blocks", [2, 7, 64])
+def test_average_precision_across_blocks(spark, blocks):
+    mixed = [(i * 7 % 3 == 0 or i % 11 == 4, [None, math.nan, 5.0, 5.0, -0.0, 0.0, i % 13 - 4.5][i % 7], i * 37 % 401) for i in range(401)]
+    groups = {"mixed": mixed, None: [(i % 3 > 0, 1.0, i) for i in range(100)], "blank": [(None, 2.0, 1), (True, 1.0, 2)]}
+    scored = spark.createDataFrame([(k, *r) for k, rows in groups.items() for r in rows], "category string, hit boolean, score double, tie long")
+    got = {r.category: r.ap for r in D.average_precision(scored, "category", "score", "tie", blocks=blocks).collect()}
+    assert got == {k: pytest.approx(_plain_ap(rows)) for k, rows in groups.items()}
+    given = D.average_precision(scored.withColumn("boxes", F.lit(1000)), "category", "score", "tie", "boxes", blocks)
+    assert {r.category: r.ap for r in given.collect()}["blank"] == pytest.approx(0.5 / 1000)
+
+
+def test_average_precision_is_linear(spark, tmp_path):
+    rows = [(i, float(i), 1, "view", i % 97 + 0.5) for i in range(1000)]
+    con = _event_table(spark, tmp_path, rows)
+    found = registry.queries()["m4_average_precision"](spark, str(tmp_path))
+    assert [tuple(r) for r in found.select("category", "ap").collect()] == con.sql(registry.oracle_sql()["m4_average_precision"]).fetchall()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "currentrow$(), unboundedfollowing" not in plan.lower()

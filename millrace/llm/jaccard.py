@@ -362,16 +362,16 @@ def _rows(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -
     first = written(sets.where("tokens is not null").select(F.col("row").alias("id"), "n", "tokens").join(classes.select(F.col("node").alias("id")), "id", "left_semi"), "representatives")
     size = 8 * (first.agg(F.sum("n").alias("s")).first()["s"] or 0)
     near = written(_mostly_shared(first, max(partitions, -(-size // CHUNK_BYTES)), max(2 * partitions, size // BUCKET_BYTES), percent), "near")
-    links = written(verified(_quick_pairs(near), near, percent), "quick")
-    found = components(links)
+    found = components(verified(_quick_pairs(near), near, percent))
+    # components are stars already, so that their rows stand for the links they came from
+    known = lambda: found.select(F.col("component").alias("a"), F.col("node").alias("b"))
     labelled = lambda rows: rows.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     entries = written(_open_entries(labelled(near), percent), "entries")
     bits = written(_bitmaps(near.join(entries.select("id").distinct(), "id", "left_semi")), "bitmaps")
     for _ in range(STAR_ROUNDS):
-        links = written(links.unionAll(verified(_stars(labelled(entries), bits, percent), near, percent)), "stars")
-        found = components(links)
+        found = components(known().unionAll(verified(_stars(labelled(entries), bits, percent), near, percent)))
     candidates = written(_candidates(labelled(entries), bits, percent), "pairs")
-    final = components(links.unionAll(verified(candidates, near, percent, range(1, PREFIX_ORDERS))))
+    final = components(known().unionAll(verified(candidates, near, percent, range(1, PREFIX_ORDERS))))
     of_class = classes.join(final, "node", "left").select("h1", "h2", F.col("n").alias("m"), F.coalesce("component", "node").alias("component"), "least")
     smallest = of_class.groupBy("component").agg(F.min("least").alias("least"))
     of_class = of_class.drop("least").join(smallest, "component")

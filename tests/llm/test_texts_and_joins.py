@@ -263,3 +263,25 @@ def test_suffix_levels_grow_geometrically():
 def test_ids_must_be_integers(spark):
     with pytest.raises(TypeError):
         suffixes.remove_repeats(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+@pytest.mark.parametrize("few", [0, 5, 1000])
+def test_components_are_the_same_in_one_task_and_in_many(spark, few):
+    draw = random.Random(few)
+    pairs = [(draw.randrange(60), draw.randrange(60)) for _ in range(35)] + [(i + 101, i + 100) for i in range(20)]
+    least = {x: x for pair in pairs for x in pair if pair[0] != pair[1]}
+    for _ in least:
+        for a, b in pairs:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    rows = components.components(spark.createDataFrame(pairs, "a long, b long"), few).collect()
+    assert len(rows) == len(least) and {r.node: r.component for r in rows} == least
+
+
+def test_few_links_need_no_rounds(spark, monkeypatch):
+    def never(edges):
+        raise AssertionError("a round of joins for a few links")
+
+    monkeypatch.setattr(components, "_large_star", never)
+    links = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    assert {r.component for r in components.components(links).collect()} == {0}
